@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm import exact_dedup as op9
 from siftline.llm import line_dedup as op8
+from siftline.llm import simhash as op3
 from siftline.llm import url_filters as op5
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op3.near_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.judge_urls(table(spark, sf_dir, "pages"), op5.rules_frame(spark, URL_RULES))
 
@@ -29,7 +35,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_url_filters": op5_url_filters, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {
+    "op3_simhash": op3_simhash,
+    "op5_url_filters": op5_url_filters,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
+}
 
 ORACLE_SQL = {
     "op5_url_filters": r"""
