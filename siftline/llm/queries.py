@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftline.llm import byte_bpe as op10
 from siftline.llm import exact_dedup as op9
+from siftline.llm import fst_tokens as op6
 from siftline.llm import line_dedup as op8
 from siftline.llm import simhash as op3
 from siftline.llm import url_filters as op5
@@ -17,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where this machine and the executors have the vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op3.near_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,6 +35,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.judge_urls(table(spark, sf_dir, "pages"), op5.rules_frame(spark, URL_RULES))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op8.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -35,11 +48,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op10.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), columns=("ids", "decoded"))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_url_filters": op5_url_filters,
+    "op6_token_counts": op6_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL = {
