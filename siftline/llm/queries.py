@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from siftline.llm import byte_bpe as op10
 from siftline.llm import exact_dedup as op9
 from siftline.llm import fst_tokens as op6
+from siftline.llm import language_id as op1
 from siftline.llm import line_dedup as op8
+from siftline.llm import quality as op7
 from siftline.llm import simhash as op3
 from siftline.llm import url_filters as op5
+from siftline.llm.common import is_held_out
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -26,6 +29,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = is_held_out(F.col("doc_id"), 4, 2)
+    out = op1.predict(docs, op1.learn(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op3.near_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -39,6 +49,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = is_held_out(F.col("doc_id"), 5, 0)
+    out = op7.score(docs, op7.learn(docs, table(spark, sf_dir, "labels").where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op8.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -54,9 +71,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
