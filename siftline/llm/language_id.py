@@ -28,6 +28,8 @@ BLOCK, LEVEL = 4096, 6
 #: Relative difference of the two smallest sizes below which a prediction is rejected.
 MIN_MARGIN = 0.01
 _TEMPERATURE = 0.05
+#: Follows every block, so that the library doesn't store a short one as it is, in the same size under all dictionaries.
+_FILLER = bytes(64)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -53,7 +55,7 @@ class Dictionaries:
         data = letters(text).encode()
         if not data or not self.by:
             return UNDETERMINED, 0.0, 0.0
-        blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
+        blocks = [data[i : i + BLOCK] + _FILLER for i in range(0, len(data), BLOCK)]
         sizes = [sum([len(c.compress(b)) for b in blocks]) for c in self.by]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         share = 1 / sum(math.exp((sizes[best] - s) / (_TEMPERATURE * sizes[best])) for s in sizes)
