@@ -10,6 +10,8 @@ from siftline.llm import exact_dedup as op9
 from siftline.llm import fst_tokens as op6
 from siftline.llm import language_id as op1
 from siftline.llm import line_dedup as op8
+from siftline.llm import media_columns as op4
+from siftline.llm import packing as op2
 from siftline.llm import quality as op7
 from siftline.llm import simhash as op3
 from siftline.llm import url_filters as op5
@@ -36,11 +38,34 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op2.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op3.near_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op4.probe(op4.store(table(spark, sf_dir, "documents")), with_payload=True)
+    track = F.col("tracks")[0]
+    keys = track["keyframes"]
+    ranges = F.array_join(F.transform(keys, lambda k: F.concat_ws("-", k["start"], k["end"])), ",")
+    feature = F.concat_ws(";", "brand", track["handler"], track["codec"], track["duration_s"], track["n_samples"], F.size(keys), F.md5(ranges))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+    )
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.judge_urls(table(spark, sf_dir, "pages"), op5.rules_frame(spark, URL_RULES))
 
@@ -72,7 +97,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_media_columns": op4_media_columns,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
