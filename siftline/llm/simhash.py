@@ -44,7 +44,7 @@ def shingles(text: bytes, width: int) -> list[bytes]:
     return [joined[a : b - 1] for a, b in zip(starts, ends[width - 1 :], strict=False)] or [joined]
 
 
-def fingerprint(text: bytes, width: int = WIDTH) -> int:
+def fingerprint(text: bytes, width: int = WIDTH, seed: int = SEED) -> int:
     """Bit i is set if it is set in over half of the shingles' XXH64; no words: zero."""
     digest = xxhash.xxh64_intdigest
     all_of = shingles(text, width)
@@ -53,20 +53,25 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     ones = np.zeros(64, np.int64)
     for at in range(0, len(all_of), 65_536):
         part = all_of[at : at + 65_536]
-        h = np.fromiter((digest(s, SEED) for s in part), np.uint64, len(part))
+        h = np.fromiter((digest(s, seed) for s in part), np.uint64, len(part))
         ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(all_of)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), tag (a hash of the text). Null text is empty."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, seeds: tuple[int, ...] = (SEED,)) -> DataFrame:
+    """doc_id, tag (a hash of the text), and fp (the 64 bits as a signed long), or fp0, fp1, ... for several seeds.
+
+    Null text is empty.
+    """
+    names = ["fp"] if len(seeds) == 1 else [f"fp{i}" for i in range(len(seeds))]
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprint((t or "").encode(), width) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64)), batch.column(2)], ["doc_id", "fp", "tag"])
+        texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        found = [pa.array(np.array([fingerprint(t, width, seed) for t in texts], np.uint64).view(np.int64)) for seed in seeds]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *found], ["doc_id", "tag", *names])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
-    return map_rows(rows, "doc_id long, fp long, tag long", each)
+    return map_rows(rows, ", ".join(f"{c} long" for c in ["doc_id", "tag", *names]), each)
 
 
 # --- the index
