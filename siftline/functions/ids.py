@@ -28,11 +28,13 @@ def stable_uuid(kind: str, *parts: Column | str) -> Column:
 
 
 def stable_hash(*parts: Column | str) -> Column:
-    """SHA-256 of the trimmed parts; null, 0 and false count as empty."""
+    """SHA-256 of the trimmed parts; null, and the number 0 and false (not the text 0), count as empty."""
 
     def one(c: Column | str) -> Column:
-        text = (F.col(c) if isinstance(c, str) else c).cast("string")
-        return F.when(text.isin("0", "0.0", "false"), F.lit("")).otherwise(F.trim(F.coalesce(text, F.lit(""))))
+        value = F.col(c) if isinstance(c, str) else c
+        text = value.cast("string")
+        nothing = (F.typeof(value) != "string") & text.isin("0", "0.0", "false")
+        return F.when(nothing, F.lit("")).otherwise(F.trim(F.coalesce(text, F.lit(""))))
 
     return F.sha2(F.concat_ws(UNIT, *[one(p) for p in parts]), 256)
 

@@ -22,7 +22,7 @@ HONORIFICS = ("dr", "mr", "mrs", "ms", "miss", "prof")
 
 
 def text_or_empty(c: Column | str) -> Column:
-    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 
 
 def casefold(c: Column) -> Column:

@@ -32,5 +32,5 @@ def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
     dealt = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = counts.select("_part", F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    placed = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
+    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_place") + F.col("_before")).drop("_part", "_place", "_before")
