@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siftline.llm.common import ascii_lower, cut_lineage
 
 RULES_SCHEMA = "rule string, verdict string"
-_END = F.unhex(F.lit("FF"))  # no UTF-8 text has this byte, so prefix + FF ends the prefix's interval
+_END = "FF"  # no UTF-8 text has this byte, so prefix + FF ends the prefix's interval
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -36,7 +36,7 @@ def _boundaries(prefixes: DataFrame) -> DataFrame:
     n = F.octet_length("key")
     inner = prefixes.where(n > 1).select("key", F.explode(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring("key", F.lit(1), i))).alias("outer"))
     parents = inner.join(prefixes.select(F.col("key").alias("outer")), "outer").groupBy("key").agg(F.max("outer").alias("parent"))
-    ends = prefixes.join(parents, "key", "left").select(F.concat("key", _END).alias("at"), F.col("parent").alias("top"))
+    ends = prefixes.join(parents, "key", "left").select(F.concat("key", F.unhex(F.lit(_END))).alias("at"), F.col("parent").alias("top"))
     return prefixes.select(F.col("key").alias("at"), F.col("key").alias("top")).unionByName(ends)
 
 
