@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +51,25 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, after which the worker gives the memory that it no longer uses back to the machine.
+
+    Python workers stay for the next task; what they hold meanwhile is lost to the executor's JVM beside them.
+    """
+
+    @wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # another C library
+            pass
+
+    return inner
+
+
 def map_rows(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512) -> DataFrame:
     """Arrow batches of at most ``rows`` rows through ``each``: memory is bounded by that many texts."""
 
@@ -58,4 +80,4 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], pa.Rec
                 if out is not None:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from siftline.llm.common import map_rows
+from siftline.llm.common import frugal, map_rows
 
 UNDETERMINED = "und"
 #: Bounds of what is learned from: rows of each language, code points of each row (from its middle), bytes of a dictionary,
@@ -105,7 +105,7 @@ def predict(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "margin", "rejected"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, margin double, rejected boolean")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), f"doc_id {kind}, lang_pred string, score double, margin double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:

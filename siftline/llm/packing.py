@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from siftline.llm.common import frugal
+
 TIERS = (128, 256, 512, 1024)
 STEP_TOKENS = 65_536
 END_ID = 0
@@ -203,4 +205,4 @@ def pack(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, step_tokens
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", *[f.split()[0] for f in _SCHEMA.split(", ")]]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_SCHEMA}")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), f"doc_id {kind}, {_SCHEMA}")
