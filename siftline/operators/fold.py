@@ -111,3 +111,37 @@ def eligible_reviews(reviews: DataFrame, most_retries: int) -> DataFrame:
 def enqueue_unless_known(items: DataFrame, queue: DataFrame, order: list[Column]) -> DataFrame:
     """One item for each dedupe_key that the queue hasn't; what gates the item gates what is saved with it."""
     return insert_if_absent(queue, items, ["dedupe_key"], order)
+
+
+def prune(state: DataFrame, kept: DataFrame, run_id: str, id: str) -> DataFrame:
+    """State without the run's rows whose id isn't kept; other runs' rows stay."""
+    return state.where(F.col("run_id") != run_id).unionByName(state.where(F.col("run_id") == run_id).join(kept.select(id).distinct(), id, "left_semi").select(*state.columns))
+
+
+def replace_groups(bridge: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Every group that new has is replaced whole."""
+    return bridge.join(new.select(key).distinct(), key, "left_anti").select(*bridge.columns).unionByName(new.select(*bridge.columns))
+
+
+def transition(state: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
+    """State with the changed values of one column; changes of unknown keys do nothing. changes: unique key, value."""
+    new = changes.select(key, F.struct(F.col("value").alias("v")).alias("_new"))
+    return state.join(new, key, "left").withColumn(column, F.when(F.col("_new").isNotNull(), F.col("_new.v")).otherwise(F.col(column))).drop("_new").select(*state.columns)
+
+
+def alias_bridge(organizations: DataFrame) -> DataFrame:
+    """Organization and normalized alias, once each. organizations: organization_id, canonical_name, aliases."""
+    from siftline.functions.text import normalize_text
+
+    names = F.array_union(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
+    return organizations.select("organization_id", F.explode(F.transform(names, lambda n: normalize_text(n))).alias("alias")).where("alias <> ''").distinct()
+
+
+def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Values of a unique key that several rows have."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def resolve_tokens(tokens: DataFrame, stored: DataFrame) -> DataFrame:
+    """What tokens stand for; only their hashes are stored. tokens: token; stored: token_hash and others."""
+    return tokens.withColumn("token_hash", F.sha2("token", 256)).join(stored, "token_hash").drop("token_hash")

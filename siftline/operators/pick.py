@@ -153,3 +153,23 @@ def retry_stage(reviews: DataFrame, stages: list[str], most_retries: int) -> Dat
     place = F.create_map(*[x for i, s in enumerate(stages) for x in (F.lit(s), F.lit(i))])
     usable = reviews.where((F.col("state") == "open") & (F.col("retry_count") < most_retries)).withColumn("_at", place[F.col("stage")])
     return usable.agg(F.min_by("stage", "_at").alias("stage"))
+
+
+def unique_recipients(c: Column | str) -> Column:
+    """Mailboxes once each, whatever their case, in their order."""
+    mails = F.transform(F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast("array<string>")), lambda m: F.lower(F.btrim(text_or_empty(m))))
+    return F.array_distinct(F.filter(mails, lambda m: m != ""))
+
+
+def samples(df: DataFrame, keys: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first rows of each key as one array, for a bounded question."""
+    rest = [c for c in df.columns if c not in keys]
+    rows = cap_per_key(df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))), keys, order, most)
+    made = F.transform(F.array_sort(F.collect_list(F.struct("_place", F.struct(*rest).alias("row")))), lambda r: r["row"])
+    return rows.groupBy(*keys).agg(made.alias("rows"))
+
+
+def backlog_first(backlog: DataFrame, fresh: DataFrame, at: str, id: str) -> DataFrame:
+    """What waited, oldest first, then what is new; ties by id."""
+    whole = backlog.withColumn("bucket", F.lit(0)).unionByName(fresh.withColumn("bucket", F.lit(1)))
+    return whole.orderBy("bucket", at, id)

@@ -86,3 +86,28 @@ def push_payload(name: Column, title: Column, email: Column, phone: Column) -> C
 def deliveries(sent: DataFrame) -> DataFrame:
     """Keys that weren't delivered exactly once. sent: delivery_key, message_id (null if none was found)."""
     return sent.groupBy("delivery_key").agg(F.count("message_id").alias("n")).where("n <> 1")
+
+
+def run_rows(df: DataFrame, run_id: str, ids: DataFrame | None = None, id: str = "") -> DataFrame:
+    """A run's rows, which prunes partitions of a table that is partitioned by run_id, and of those the given ids."""
+    rows = df.where(F.col("run_id") == run_id)
+    return rows.join(ids.select(id).distinct(), id, "left_semi") if ids is not None else rows
+
+
+def digest_leads(leads: DataFrame, organizations: DataFrame, notes: DataFrame, phones: DataFrame) -> DataFrame:
+    """Leads with their organization's name, their newest note and their person's phones, once each by the last ten digits."""
+    from siftline.functions.contacts import phone_key
+    from siftline.functions.crm import parse_note
+
+    note = notes.groupBy("lead_id").agg(F.max_by("content", F.struct("added", "note_id")).alias("content")).select("lead_id", parse_note("content").alias("note"))
+    numbers = phones.withColumn("_k", phone_key("phone")).where("_k <> ''").groupBy("person_id", "_k").agg(F.min("phone").alias("phone")).groupBy("person_id").agg(F.array_sort(F.collect_list("phone")).alias("phones"))
+    out = leads.join(organizations.select("organization_id", F.col("name").alias("organization")), "organization_id", "left")
+    return out.join(note, "lead_id", "left").join(numbers, "person_id", "left")
+
+
+def coverage_export(sources: DataFrame, candidates: DataFrame, events: DataFrame) -> DataFrame:
+    """Per source its candidates, those of them that are valid, and the events they led to."""
+    found = candidates.groupBy("source_id").agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("record_status") == "valid").alias("valid"))
+    led = events.join(candidates.select(F.col("candidate_id").alias("primary_candidate_id"), "source_id"), "primary_candidate_id").groupBy("source_id").agg(F.count_distinct("lead_event_id").alias("events"))
+    out = sources.select("source_id").join(found, "source_id", "left").join(led, "source_id", "left")
+    return out.select("source_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("candidates", "valid", "events")])

@@ -235,8 +235,8 @@ SELECT g.id AS company_id, coalesce(o.known, g.component) AS aligned_id, coalesc
 def align_companies(spark, sf):
     """Current companies under the ids of existing ones that they are joined to."""
     c = table(spark, sf, "customer")
-    most = c.agg(F.max("c_custkey").alias("most"))
-    rows = c.crossJoin(F.broadcast(most)).select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("company_id"), F.concat(F.lit("x"), (F.col("c_custkey") % 400).cast("string")).alias("domain"), F.array(F.concat(F.lit("y"), F.floor(F.col("c_custkey") / 3).cast("string"))).alias("names"), ((F.col("c_custkey") > 1000) | (F.col("c_custkey") > F.floor(F.col("most") * 2 / 3))).alias("old"))
+    most = c.agg(F.max("c_custkey")).scalar()
+    rows = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("company_id"), F.concat(F.lit("x"), (F.col("c_custkey") % 400).cast("string")).alias("domain"), F.array(F.concat(F.lit("y"), F.floor(F.col("c_custkey") / 3).cast("string"))).alias("names"), ((F.col("c_custkey") > 1000) | (F.col("c_custkey") > F.floor(most * 2 / 3))).alias("old"))
     return identity.align_companies(rows.where("not old").drop("old"), rows.where("old").drop("old"))
 
 

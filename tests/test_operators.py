@@ -181,3 +181,31 @@ def test_sequences_and_suppression(spark):
     assert sequences.approved(seq, batch, F.lit("2024-03-01")).count() == 0
     mail = spark.createDataFrame([(" A@x.com",), ("b@x.com",)], "email string")
     assert [r.email for r in suppression.may_send(mail, spark.createDataFrame([("a@X.com",)], "email string")).collect()] == ["b@x.com"]
+
+
+def test_group_writes(spark):
+    frame = spark.createDataFrame
+    state = frame([("r1", 1), ("r1", 2), ("r2", 1)], "run_id string, id int")
+    assert sorted(map(tuple, fold.prune(state, frame([(2,)], "id int"), "r1", "id").collect())) == [("r1", 2), ("r2", 1)]
+    bridge = frame([("s1", "a"), ("s1", "b"), ("s2", "c")], "seq string, e string")
+    assert sorted(map(tuple, fold.replace_groups(bridge, frame([("s1", "z")], "seq string, e string"), "seq").collect())) == [("s1", "z"), ("s2", "c")]
+    moved = fold.transition(frame([(1, "new"), (2, "new")], "id int, status string"), frame([(1, None), (9, "x")], "id int, value string"), "id", "status")
+    assert sorted(map(tuple, moved.collect()), key=str) == [(1, None), (2, "new")]
+    names = fold.alias_bridge(frame([(1, "Acme, Inc", ["ACME inc", "Beta"]), (2, "Z", None)], "organization_id int, canonical_name string, aliases array<string>"))
+    assert sorted(map(tuple, names.collect())) == [(1, "acme inc"), (1, "beta"), (2, "z")]
+    assert fold.key_violations(state, ["id"]).count() == 1
+    stored = frame([("2c26b46b68ffc68ff99b453c1d30413413422d706483bfa0f98a5e886266e7ae", "x")], "token_hash string, email string")
+    assert [r.email for r in fold.resolve_tokens(frame([("foo",), ("bar",)], "token string"), stored).collect()] == ["x"]
+
+
+def test_ordered_picks(spark):
+    frame = spark.createDataFrame
+    assert frame([([" A@x", "a@X", "", "b@x"],)], "m array<string>").select(pick.unique_recipients("m")).first()[0] == ["a@x", "b@x"]
+    rows = frame([("k", i) for i in (3, 1, 2)] + [("l", 5)], "k string, n int")
+    assert {r.k: [x.n for x in r.rows] for r in pick.samples(rows, ["k"], [F.col("n")], 2).collect()} == {"k": [1, 2], "l": [5]}
+    got = pick.backlog_first(frame([("b", 5)], "id string, at int"), frame([("a", 1)], "id string, at int"), "at", "id")
+    assert [r.id for r in got.collect()] == ["b", "a"]
+    first, rest = pick.spend_cap(frame([(i,) for i in range(5)], "id int"), [F.col("id").desc()], 2)
+    assert sorted(r.id for r in first.collect()) == [3, 4] and sorted(r.id for r in rest.collect()) == [0, 1, 2]
+    df = frame([("qualify", "open", 0), ("score", "open", 0), ("discover", "resolved", 0)], "stage string, state string, retry_count int")
+    assert pick.retry_stage(df, ["discover", "qualify", "score"], 3).first().stage == "qualify"

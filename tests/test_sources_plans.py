@@ -130,3 +130,16 @@ def test_signatures(spark):
     rows = [("a", 1000, sign(1000, "a")), ("b", 1000, sign(1000, "a")), ("c", 900_000_000, sign(900_000_000, "c")), ("d", 1000, None)]
     got = {r.payload: r.signature_valid for r in webhooks.signed(spark.createDataFrame(rows, "payload string, sent_ms long, signature string"), "key", 2000).collect()}
     assert got == {"a": True, "b": False, "c": False, "d": False}
+
+
+def test_run_rows_and_digest(spark):
+    frame = spark.createDataFrame
+    rows = frame([("r", 1), ("r", 2), ("s", 1)], "run_id string, id int")
+    assert [r.id for r in exports.run_rows(rows, "r", frame([(2,)], "id int"), "id").collect()] == [2]
+    leads = frame([(1, 7, 8)], "lead_id int, organization_id int, person_id int")
+    notes = frame([(1, 1, "2024-01-01", "old"), (1, 2, "2024-01-02", "New.<br>Signal: s | City: c")], "lead_id int, note_id int, added string, content string")
+    phones = frame([(8, "602-555-0100"), (8, "+1 602 555 0100"), (8, "")], "person_id int, phone string")
+    got = exports.digest_leads(leads, frame([(7, "Acme")], "organization_id int, name string"), notes, phones).first()
+    assert (got.organization, got.note.summary, got.note.city, len(got.phones)) == ("Acme", "New.", "c", 1)
+    out = exports.coverage_export(frame([("a",), ("b",)], "source_id string"), frame([("c1", "a", "valid"), ("c2", "a", "review")], "candidate_id string, source_id string, record_status string"), frame([("e", "c1")], "lead_event_id string, primary_candidate_id string"))
+    assert sorted(map(tuple, out.collect())) == [("a", 2, 1, 1), ("b", 0, 0, 0)]
