@@ -51,6 +51,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def sweep(spark: SparkSession) -> None:
+    """Deletes shuffle files that nothing can read any more.
+
+    Spark deletes them once the driver has collected the objects that stand for them, which an idle driver may not do for
+    half an hour; a job of many rounds asks for it, so that its disk holds one round.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """run, after which the worker gives the memory that it no longer uses back to the machine.
 

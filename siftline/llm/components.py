@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import cut_lineage
+from siftline.llm.common import cut_lineage, sweep
+
+
+EDGES_PER_PART = 50_000
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -34,6 +37,7 @@ def components(edges: DataFrame, most_steps: int = 64) -> DataFrame:
     changes nothing, and fails after ``most_steps`` (a logarithm of the nodes is enough) rather than return labels
     that aren't final. No edges, no rows.
     """
+    spark = edges.sparkSession
     edges = cut_lineage(edges.where("u <> v").select("u", "v").distinct())
     state = None
     for _ in range(most_steps):
@@ -41,5 +45,7 @@ def components(edges: DataFrame, most_steps: int = 64) -> DataFrame:
         if tuple(now) == state or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
         state = tuple(now)
-        edges = cut_lineage(_small(_large(edges)))
+        parts = -(-now[0] // EDGES_PER_PART)  # few files and tasks for a small graph, all there are for a large one
+        edges = cut_lineage(_small(_large(edges.coalesce(parts))).coalesce(parts))
+        sweep(spark)
     raise RuntimeError(f"components not final after {most_steps} steps")

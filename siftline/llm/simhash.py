@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import cut_lineage, map_rows
+from siftline.llm.common import cut_lineage, frugal, map_rows
 from siftline.llm.components import components
 
 SEED = 42
@@ -85,34 +85,36 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """A forest over fingerprints sorted by bucket and Gray rank: one tree for each bucket."""
+    """A forest over fingerprints sorted by bucket and Gray rank: one tree for each bucket.
 
-    def __init__(self, bucket: np.ndarray, fp: np.ndarray):
+    label: a number for each fingerprint; pairs of one label are not looked for, and nodes of one label are dropped whole.
+    """
+
+    def __init__(self, bucket: np.ndarray, fp: np.ndarray, label: np.ndarray):
         self.order = np.lexsort((gray_rank(fp), bucket))
-        self.fp, bucket = fp[self.order], bucket[self.order]
-        #: From the fingerprints upwards: shared bits' mask, their values, where the children start and end.
-        value, mask = self.fp, np.full(len(fp), ~np.uint64(0))
+        self.fp, self.label, bucket = fp[self.order], label[self.order], bucket[self.order]
+        self.tree = owner = np.cumsum(np.r_[True, bucket[1:] != bucket[:-1]]) - 1
+        self.size = np.bincount(self.tree)[self.tree]
+        #: From the fingerprints upwards: shared bits, their mask less what is shared above, label range, children.
+        value, mask, low, high = self.fp, np.full(len(fp), ~np.uint64(0)), self.label, self.label
         self.levels = []
-        tree = np.cumsum(np.r_[True, bucket[1:] != bucket[:-1]]) - 1 if len(fp) else np.zeros(0, np.int64)
-        owner = tree
         while True:
-            first = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
+            first = np.r_[True, owner[1:] != owner[:-1]]
             place = np.arange(len(owner)) - np.maximum.accumulate(np.where(first, np.arange(len(owner)), 0))
             starts = np.flatnonzero(place % FAN == 0)
             ends = np.r_[starts[1:], len(owner)]
             all_ones, any_one = np.bitwise_and.reduceat(value, starts), np.bitwise_or.reduceat(value, starts)
             shared = np.bitwise_and.reduceat(mask, starts) & ~(all_ones ^ any_one)
             parent = np.repeat(np.arange(len(starts)), ends - starts)
-            self.levels.append((value, mask & ~shared[parent], starts, ends))
+            self.levels.append((value, mask & ~shared[parent], low, high, starts, ends))
             value, mask, owner = all_ones & shared, shared, owner[starts]
+            low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
             if len(owner) == owner[-1] + 1:
                 break
         self.top = (value, mask)
-        self.tree = tree
-        self.size = np.bincount(tree)[tree]
 
     def links(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of (i, j), i before j in index order: all pairs of a bucket within radius."""
+        """Blocks of (i, j), i before j in index order: all pairs of a bucket within radius and of different labels."""
         load = np.cumsum(self.size)
         at = 0
         while at < len(self.fp):
@@ -124,12 +126,13 @@ class GrayIndex:
         node = self.tree[query]
         value, mask = self.top
         sum_of = np.bitwise_count((self.fp[query] ^ value[node]) & mask[node]).astype(np.int16)
-        for depth, (value, rest, starts, ends) in enumerate(reversed(self.levels)):
+        for depth, (value, rest, low, high, starts, ends) in enumerate(reversed(self.levels)):
             fan = ends[node] - starts[node]
             child = np.repeat(starts[node] - np.r_[0, np.cumsum(fan)[:-1]], fan) + np.arange(fan.sum())
             query, sum_of = np.repeat(query, fan), np.repeat(sum_of, fan)
             sum_of = sum_of + np.bitwise_count((self.fp[query] ^ value[child]) & rest[child])
-            near = sum_of <= radius
+            own = self.label[query]
+            near = (sum_of <= radius) & ((low[child] != own) | (high[child] != own))
             if depth == len(self.levels) - 1:
                 near &= child > query
             query, node, sum_of = query[near], child[near], sum_of[near]
@@ -137,20 +140,22 @@ class GrayIndex:
 
 
 def spanning(index: GrayIndex, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join what the pairs within radius join, at most one for each fingerprint: (fp, root's fp)."""
-    label = np.arange(len(index.fp))
+    """Pairs of labels that join what the pairs within radius join, at most one for each label."""
+    _, first, root = np.unique(index.label, return_index=True, return_inverse=True)
+    root = first[root]  # rows of one label start as one
+    start = root.copy()
     for i, j in index.links(radius):
         while len(i):
-            a, b = label[i], label[j]
+            a, b = root[i], root[j]
             apart = a != b
             if not apart.any():
                 break
             i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-            while (label[label] != label).any():
-                label = label[label]
-    moved = np.flatnonzero(label != np.arange(len(label)))
-    return index.fp[moved], index.fp[label[moved]]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while (root[root] != root).any():
+                root = root[root]
+    moved = np.unique(start[root != start])
+    return index.label[moved], index.label[root[moved]]
 
 
 def bucket_masks(radius: int, agree: int = AGREE) -> list[int]:
@@ -167,32 +172,35 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, agree: int = AGREE) -> DataFrame:
-    """u, v: links between distinct fingerprints (column fp) that join all that pairs within radius join.
+def links(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, masks: list[int] | None = None) -> DataFrame:
+    """u, v: links between labels that join all labels with points within radius. points: distinct fp and label.
 
-    A bucket of more than ``chunk`` fingerprints is split into chunks by hash, and every two chunks meet in a task
-    of their own, so the largest task holds about twice ``chunk`` whatever the bucket, and no pair is lost.
+    A bucket of one label needs no search. One of more than ``chunk`` points is split into chunks by hash, and every two
+    chunks meet in a task of their own, so the largest task holds about twice ``chunk`` whatever the bucket, and no pair
+    is lost. Points are counted by bucket before the shuffle; only the counts of large buckets are joined back.
     """
-    masks = F.array(*[F.lit(_signed(m)) for m in bucket_masks(radius, agree)])
-    dealt = fps.select("fp", F.posexplode(masks).alias("mask_no", "mask")).select("fp", "mask_no", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
-    full = dealt.groupBy("mask_no", "shared").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = dealt.join(full, ["mask_no", "shared"]).withColumn("parts", F.ceil(F.col("n") / chunk).cast("int"))
-    met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    met = met.withColumn("other", F.explode(F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
-    met = met.select("mask_no", "shared", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
+    all_masks = F.array(*[F.lit(_signed(m)) for m in masks or bucket_masks(radius)])
+    dealt = points.select("fp", "label", F.posexplode(all_masks).alias("mask_no", "mask")).select("fp", "label", "mask_no", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
+    large = dealt.groupBy("mask_no", "shared").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low_label"), F.max("label").alias("high_label")).where(F.col("n") > chunk)
+    met = dealt.join(large, ["mask_no", "shared"], "left").where("n is null or low_label <> high_label")
+    met = met.withColumn("parts", F.ceil(F.col("n") / chunk).cast("int")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    met = met.withColumn("other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
+    met = met.select("mask_no", "shared", F.coalesce(F.least("own", "other"), F.lit(0)).alias("low"), F.coalesce(F.greatest("own", "other"), F.lit(0)).alias("high"), "fp", "label")
     keys = ["mask_no", "shared", "low", "high"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: np.ndarray) -> pa.RecordBatch:
-            change = np.r_[True, (rows[1:, :4] != rows[:-1, :4]).any(axis=1)]
-            bucket = np.cumsum(change)
-            many = np.bincount(bucket)[bucket] > 1
-            if not many.any():
+            starts = np.flatnonzero(np.r_[True, (rows[1:, :4] != rows[:-1, :4]).any(axis=1)])
+            sizes = np.diff(np.r_[starts, len(rows)])
+            several = np.minimum.reduceat(rows[:, 5], starts) != np.maximum.reduceat(rows[:, 5], starts)
+            keep = np.repeat(several, sizes)
+            if not several.any():
                 return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["u", "v"])
-            u, v = spanning(GrayIndex(bucket[many], rows[many, 4].view(np.uint64)), radius)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+            bucket = np.repeat(np.arange(len(starts)), sizes)[keep]
+            u, v = spanning(GrayIndex(bucket, rows[keep, 4].view(np.uint64), rows[keep, 5]), radius)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-        held = np.zeros((0, 5), np.int64)
+        held = np.zeros((0, 6), np.int64)
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
             whole = len(held) - int((held[::-1, :4] == held[-1, :4]).all(axis=1).argmin() or len(held)) if len(held) else 0
@@ -202,7 +210,7 @@ def links(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, agree: int =
         if len(held):
             yield found(np.ascontiguousarray(held))
 
-    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(search, "u long, v long").distinct()
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(frugal(search), "u long, v long").distinct()
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
@@ -215,7 +223,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk
     """
     rows = cut_lineage(fingerprints(docs, width))
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    labels = components(links(distinct.select("fp"), radius, chunk))
+    labels = components(links(distinct.select("fp", F.col("fp").alias("label")), radius, chunk))
     linked = distinct.join(labels, distinct["fp"] == labels["node"]).select("fp", "label", "first")
     smallest = linked.groupBy("label").agg(F.min("first").alias("smallest"))
     reached = linked.join(smallest, "label").select("fp", "smallest")
