@@ -28,14 +28,26 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
+def _exact_order(id: str) -> Column:
+    """Valid rows come first, then dated ones, longer titles and the smallest id."""
+    return F.struct((F.col("record_status") != "valid").alias("a"), F.col("published_at").isNull().alias("b"), (-F.length("title")).alias("c"), F.col(id).alias("id"))
+
+
+def exact_winners(df: DataFrame, key: str = "canonical_url", id: str = "candidate_id") -> DataFrame:
+    """The winning id of each key and the number of its rows. df: key, id, record_status, published_at, title.
+
+    Merged before the shuffle, so a key that a third of all rows share costs one row for each map task.
+    """
+    return df.groupBy(key).agg(F.min_by(id, _exact_order(id)).alias(id), F.count(F.lit(1)).alias("n"))
+
+
 def exact_duplicates(df: DataFrame, key: str = "canonical_url", id: str = "candidate_id") -> DataFrame:
-    """One row for each key with the ids of all its rows, the winner's first.
+    """One row for each key with the ids of all its rows in one array, the winner's first.
 
-    Valid rows come first, then dated ones, longer titles and the smallest id.
-    df: key, id, record_status, published_at, title.
+    The array is what the stage's records hold; where a key may have more rows than a record should, join
+    ``exact_winners`` instead.
     """
-    order = F.struct((F.col("record_status") != "valid").alias("a"), F.col("published_at").isNull().alias("b"), (-F.length("title")).alias("c"), F.col(id).alias("id"))
-    found = df.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("all"))
+    found = df.groupBy(key).agg(F.array_sort(F.collect_list(_exact_order(id))).alias("all"))
     ids = F.transform("all", lambda r: r["id"])
     return found.select(key, ids[0].alias(id), ids.alias("duplicate_ids"))
 

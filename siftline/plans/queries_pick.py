@@ -113,7 +113,7 @@ def exact_url_dedup(spark, sf):
         F.when(F.col("page_id") % 5 != 0, F.lit("2024-01-01").cast("timestamp")).alias("published_at"),
         F.col("html").alias("title"),
     )
-    return pick.exact_duplicates(rows).select("canonical_url", "candidate_id", F.size("duplicate_ids").alias("n_ids"))
+    return pick.exact_winners(rows).select("canonical_url", "candidate_id", F.col("n").cast("int").alias("n_ids"))
 
 
 @query(f"""WITH {LEAD_EVENTS} SELECT e.lead_event_id, e.company_id FROM lead_events e

@@ -19,6 +19,7 @@ def test_exact_duplicates_take_the_smallest_id(spark):
     rows = [("u", "b", "valid", None, "long"), ("u", "a", "valid", None, "long"), ("u", "c", "review", None, "longest")]
     df = spark.createDataFrame(rows, "canonical_url string, candidate_id string, record_status string, published_at timestamp, title string")
     assert [tuple(r) for r in pick.exact_duplicates(df).collect()] == [("u", "a", ["a", "b", "c"])]
+    assert [tuple(r) for r in pick.exact_winners(df).collect()] == [("u", "a", 3)]
 
 
 def test_anchor_prefers_a_zero_score_to_none(spark):
