@@ -1 +1 @@
-"""siftline.functions"""
+"""Column expressions. Python runs only where a docstring says so."""

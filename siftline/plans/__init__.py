@@ -1 +1 @@
-"""siftline.plans"""
+"""Queries over whole tables, the ledger of stages, exports."""

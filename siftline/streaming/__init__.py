@@ -1 +1 @@
-"""siftline.streaming"""
+"""Streams and what they become in batches: webhooks, the queue, feeds, suppression, sequences."""
