@@ -148,3 +148,11 @@ def json_strings(c: Column | str, key: str) -> Column:
         return values.map(find)
 
     return strings(c)
+
+
+def assessor_result(c: Column | str) -> Column:
+    """Owner, parcel number and use of the first result of a lookup's JSON; null if there is none or it isn't JSON."""
+    raw = F.col(c) if isinstance(c, str) else c
+    first = F.get_json_object(raw, "$.results[0]")
+    get = lambda *names: F.coalesce(*[F.nullif(F.btrim(F.get_json_object(first, f"$.{n}")), F.lit("")) for n in names])
+    return F.when(first.isNotNull(), F.struct(get("Ownership", "OwnerName").alias("owner"), get("APN", "ParcelNumber").alias("apn"), get("PropertyType", "UseType").alias("property_type"), situs(get("SitusAddress"), get("SitusCity"), get("SitusZip")).alias("address")))

@@ -133,3 +133,14 @@ def html_text(c: Column | str, limit: int | None = None) -> Column:
 def json_object(c: Column | str) -> Column:
     """The outermost braces of an answer, citation marks out; null where there are none."""
     return F.nullif(F.regexp_extract(F.regexp_replace(text_or_empty(c), "<<ccr:[^>]+>>", ""), r"(?s)(\{.*\})", 1), F.lit(""))
+
+
+def main_text(c: Column | str, least: int = 200, most: int = 8000) -> Column:
+    """P20: a page's article: its article element, else main, else body, as text; null below ``least`` characters.
+
+    A plain stand-in for an extraction library: it doesn't weigh blocks against each other.
+    """
+    page = text_or_empty(c)
+    parts = [F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>", 1) for tag in ("article", "main", "body")]
+    out = html_text(F.coalesce(*[F.nullif(p, F.lit("")) for p in parts], page), most)
+    return F.when(F.length(out) >= least, out)

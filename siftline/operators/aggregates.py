@@ -117,3 +117,27 @@ def watermark(runs: DataFrame, at: str = "ran_at") -> DataFrame:
 def ratio(part: Column, whole: Column) -> Column:
     """A share held within 1; of nothing it is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(F.least(part / whole, F.lit(1.0)))
+
+
+def merged_profiles(profiles: DataFrame) -> DataFrame:
+    """One profile for each company: the best row's fields, the arrays of all.
+
+    Best: valid before review, more events, the smallest profile id. profiles: company_id, profile_id, record_status,
+    why_line, aliases, lead_event_ids.
+    """
+    order = F.struct((F.col("record_status") != "valid").alias("a"), (-F.size("lead_event_ids")).alias("b"), F.col("profile_id").alias("c"))
+    best = F.min_by(F.struct("profile_id", "record_status", "why_line"), order).alias("best")
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return profiles.groupBy("company_id").agg(best, union("aliases"), union("lead_event_ids")).select("company_id", "best.*", "aliases", "lead_event_ids")
+
+
+def promotion_inputs(expected: DataFrame, retained: DataFrame, quarantined: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Per day the shares that the criteria take: retention, reachable, sourced.
+
+    expected, retained, quarantined: day, id; contacts: day, selected, email, phone, linkedin, evidence_count.
+    """
+    accounted = retained.select("day", "id").union(quarantined.select("day", "id")).distinct()
+    kept = expected.distinct().join(accounted.withColumn("_ok", F.lit(1)), ["day", "id"], "left").groupBy("day").agg((F.count("_ok") / F.count(F.lit(1))).alias("retention"))
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    chosen = contacts.where("selected").groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_if(filled("email") | filled("phone") | filled("linkedin")).alias("r"), F.count_if(F.col("evidence_count") > 0).alias("s"))
+    return kept.join(chosen, "day", "left").select("day", "retention", ratio(F.coalesce("r", F.lit(0)), F.coalesce("n", F.lit(0))).alias("reachable"), ratio(F.coalesce("s", F.lit(0)), F.coalesce("n", F.lit(0))).alias("sourced"))

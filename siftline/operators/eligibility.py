@@ -64,3 +64,19 @@ def missing_settings(config: DataFrame, required: list[str]) -> DataFrame:
 def changed_fields(df: DataFrame, old: str, new: str) -> DataFrame:
     """df with ``changes``: the entries of the new map that differ from the old map's."""
     return df.withColumn("changes", F.map_filter(F.col(new), lambda k, v: ~v.eqNullSafe(F.try_element_at(F.col(old), k))))
+
+
+def campaign_violations(live: DataFrame, expected: DataFrame) -> DataFrame:
+    """live campaigns and what in them isn't as it was approved. Both: campaign_id, status, manifest_hash, timezone, mailboxes (array)."""
+    e = expected.select("campaign_id", *[F.col(c).alias(f"_{c}") for c in ("manifest_hash", "timezone", "mailboxes")], F.lit(True).alias("_known"))
+    out = live.join(e, "campaign_id", "left")
+    box = lambda c: F.array_sort(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda m: F.lower(F.btrim(m))))
+    why = reasons(
+        campaign_foreign=F.col("_known").isNull(),
+        campaign_not_active=F.coalesce("status", F.lit("")) != "active",
+        manifest_hash_mismatch=F.col("_known") & ~F.col("manifest_hash").eqNullSafe(F.col("_manifest_hash")),
+        timezone_mismatch=F.col("_known") & ~F.col("timezone").eqNullSafe(F.col("_timezone")),
+        mailboxes_mismatch=F.col("_known") & (box("mailboxes") != box("_mailboxes")),
+        mailboxes_repeated=F.size(F.array_distinct(box("mailboxes"))) != F.size(box("mailboxes")),
+    )
+    return out.select("campaign_id", why.alias("errors"))

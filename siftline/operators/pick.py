@@ -185,3 +185,9 @@ def backlog_first(backlog: DataFrame, fresh: DataFrame, at: str, id: str) -> Dat
     """What waited, oldest first, then what is new; ties by id."""
     whole = backlog.withColumn("bucket", F.lit(0)).unionByName(fresh.withColumn("bucket", F.lit(1)))
     return whole.orderBy("bucket", at, id)
+
+
+def ordered_union(*arrays: Column | str) -> Column:
+    """The values of all arrays once each, in order of their first place."""
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*[F.coalesce(F.col(a) if isinstance(a, str) else a, none) for a in arrays]))

@@ -197,8 +197,16 @@ def safe_deletes(plan: DataFrame, succeeded: DataFrame) -> DataFrame:
     return plan.where("not is_keeper").join(succeeded.select("keeper_id").distinct(), "keeper_id", "left_semi")
 
 
+def leads_since(pages: DataFrame, since: str) -> DataFrame:
+    """The leads of all pages of a scan that were added since, newest first, each once. pages: data (array of lead_id, add_time)."""
+    from siftline.functions.crm import add_time
+
+    rows = pages.select(F.explode("data").alias("lead")).select("lead.*").withColumn("added", add_time("add_time")).where(F.col("added") >= F.lit(since).cast("timestamp"))
+    return ranked(rows, ["lead_id"], [F.col("added").desc()], "_n").where("_n = 1").drop("_n").orderBy(F.desc("added"), "lead_id")
+
+
 def label_scan(leads: DataFrame, label: str) -> DataFrame:
-    """Leads that carry a label; without labels they carry none."""
+    """Leads that carry a label; without labels they carry none."""
     return leads.where(F.array_contains(F.coalesce("label_ids", F.array().cast("array<string>")), label))
 
 
@@ -272,3 +280,21 @@ def judge_problems(expected: DataFrame, rows: DataFrame, allowed: DataFrame) ->
     out = expected.join(said, "criterion_id", "left").join(known, "criterion_id", "left")
     foreign = F.size(F.array_except(F.coalesce("_evidence", F.array().cast("array<string>")), F.coalesce("_known", F.array().cast("array<string>")))) > 0
     return out.select("criterion_id", reasons(missing=F.col("_n").isNull(), repeated=F.col("_n") > 1, points_out_of_range=~F.col("_points").between(0, F.col("maximum")), evidence_unknown=foreign).alias("problems"))
+
+
+def recovered(asked: DataFrame, answers: DataFrame, id: str, batch: str) -> tuple[DataFrame, DataFrame]:
+    """What bisecting a failed batch down to single rows leaves: rows of whole batches, and rows whose own answer holds.
+
+    Calls are someone else's; given all answers that they could give, a row is good if its batch's answers cover exactly its
+    ids, or if it was asked for alone (batch equal to the id) and answered once.
+    """
+    good, review = answered(asked, answers, id, batch)
+    alone, lost = answered(review.select(*asked.columns), answers.where(F.col(batch) == F.col(id)).drop(batch), id)
+    return good.unionByName(alone, allowMissingColumns=True), lost
+
+
+def contact_fallback(people: DataFrame, contacts: DataFrame, cached: DataFrame) -> DataFrame:
+    """People without a reachable contact, and whether their lookup would be billed. cached: person_id."""
+    reached = contacts.where((text_or_empty("email") != "") | (text_or_empty("phone") != "")).select("person_id").distinct()
+    known = cached.select("person_id").distinct().withColumn("_cached", F.lit(True))
+    return people.join(reached, "person_id", "left_anti").join(known, "person_id", "left").withColumn("billable", F.col("_cached").isNull()).drop("_cached")

@@ -63,7 +63,7 @@ class Run:
         return self._exists(f"{self.folder}/_ledger/{stage}/_SUCCESS")
 
     def problems(self, stage: str) -> DataFrame:
-        """Path and problem (missing, length, hash, configuration) of each file that isn't as the ledger has it."""
+        """Path and problem (missing, length, hash, configuration) of each file that isn't as the ledger has it."""
         ledger = self.spark.read.parquet(f"{self.folder}/_ledger/{stage}")
         now = inventory(self.spark, f"{self.folder}/{stage}").select("path", F.col("sha256").alias("now_sha"), F.col("byte_count").alias("now_bytes"))
         problem = F.when(F.col("now_sha").isNull(), "missing").when(F.col("byte_count") != F.col("now_bytes"), "length").when(F.col("sha256") != F.col("now_sha"), "hash").when(F.col("configuration") != self.configuration, "configuration")

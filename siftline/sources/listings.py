@@ -253,3 +253,26 @@ def crawl(sources: DataFrame, pages: DataFrame, most_documents: int = MOST_DOCUM
     capped = capped.unionByName(over.select("source_id", F.lit("direct_listing_document_cap_reached").alias("error"))).unionByName(entries.where(F.col("n") > most_items).select("source_id", F.lit("direct_listing_item_cap_reached").alias("error"))).distinct()
     errors = capped.select("source_id", F.lit(None).cast("string").alias("url"), "error").unionByName(missing)
     return entries.where(F.col("n") <= most_items).drop("n", "order"), errors
+
+
+def fallback_entries(answers: DataFrame, coverage: DataFrame, pages: DataFrame, since: str, until: str, most: int = 100) -> DataFrame:
+    """Pages that an answer names for sources that nothing else covered: on the source's domain, dated in the window.
+
+    answers: source_id, urls (array); coverage: source_id, source_url, uncovered, incomplete; pages: url (canonical), published_at.
+    """
+    open_sources = coverage.where("uncovered or incomplete").select("source_id", "source_url")
+    named = answers.join(open_sources, "source_id").select("source_id", "source_url", F.posexplode(F.slice("urls", 1, most)).alias("pos", "given")).withColumn("url", canonicalize_url("given"))
+    first = ranked(named.where(same_domain("url", "source_url")), ["source_id", "url"], [F.col("pos")], "_n").where("_n = 1")
+    dated = first.join(pages.select("url", F.coalesce(F.col("published_at").cast("date"), date_from_url("url")).alias("date")), "url")
+    return dated.where(F.col("date").between(F.lit(since).cast("date"), F.lit(until).cast("date"))).select("source_id", "url", "date")
+
+
+def new_articles(entries: DataFrame, seen: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries that weren't seen before, by the hash of their url, of sources that gave no error; and the failed sources.
+
+    entries: source_id, canonical_url; seen: url_hash; errors: source_id, error.
+    """
+    failed = errors.select("source_id", "error").distinct()
+    good = entries.join(failed.select("source_id"), "source_id", "left_anti").withColumn("url_hash", F.sha2("canonical_url", 256))
+    fresh = good.join(seen.select("url_hash"), "url_hash", "left_anti")
+    return ranked(fresh, ["url_hash"], [F.col("source_id")], "_n").where("_n = 1").drop("_n"), failed

@@ -69,3 +69,14 @@ def changed(rows: DataFrame, keys: list[str], value: str, order: list[Column]) -
     """Rows whose value differs from the one before of the same key, with the one before."""
     before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("before", before).where(F.col("before").isNotNull() & (F.col("before") != F.col(value)))
+
+
+def advance_cursor(state: DataFrame, pages: DataFrame) -> DataFrame:
+    """Per mailbox the cursor after a sync and whether it has to start over.
+
+    state: mailbox, cursor; pages: mailbox, next_cursor (null if the old one is gone). A cursor never goes back.
+    """
+    got = pages.groupBy("mailbox").agg(F.max("next_cursor").alias("_next"), F.bool_or(F.col("next_cursor").isNull()).alias("_gone"))
+    out = state.join(got, "mailbox", "left")
+    gone = F.coalesce("_gone", F.lit(False))
+    return out.select("mailbox", F.when(gone, None).otherwise(F.greatest("cursor", F.coalesce("_next", "cursor"))).alias("cursor"), gone.alias("resync"))
