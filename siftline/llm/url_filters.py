@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from siftline.llm.common import ascii_lower, cut_lineage
 
-RULES_SCHEMA = "rule string, verdict string"
 _END = "FF"  # no UTF-8 text has this byte, so prefix + FF ends the prefix's interval
 
 
@@ -60,8 +59,8 @@ def innermost(probes: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rules given as (rule, verdict), the rule like ``example.net/en/``."""
-    return spark.createDataFrame(rules, RULES_SCHEMA)
+    """A short list of rules given as (rule, verdict), the rule like ``example.net/en/``; a long one is a table."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict")) for rule, verdict in rules])))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
