@@ -51,13 +51,23 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def give_back() -> None:
+    """Returns memory that this process has freed to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def sweep(spark: SparkSession) -> None:
     """Deletes shuffle files that nothing can read any more.
 
     Spark deletes them once the driver has collected the objects that stand for them, which an idle driver may not do for
     half an hour; a job of many rounds asks for it, so that its disk holds one round.
     """
-    gc.collect()
+    give_back()
     spark._jvm.System.gc()
 
 
@@ -70,12 +80,7 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     @wraps(run)
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:  # another C library
-            pass
+        give_back()
 
     return inner
 

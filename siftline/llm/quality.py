@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import map_rows
+from siftline.llm.common import give_back, map_rows
 
 #: Bounds of what is learned from and broadcast: labelled texts, columns, directions (about 2 MB together).
 SAMPLE_ROWS, TERMS, DIMENSIONS = 3000, 4096, 64
@@ -50,11 +50,12 @@ class Voters:
 
     @classmethod
     def fit(cls, counts: np.ndarray, labels: np.ndarray) -> Voters:
-        """counts: a row of relative term counts for each label. The SVD is a randomised one with a fixed seed."""
+        """counts: a row of relative term counts for each label, scaled in place. The SVD is a randomised one with a fixed seed."""
         k = min(DIMENSIONS, *counts.shape)
-        unit = _unit(counts)
         if not k:
             return cls(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
+        unit = counts
+        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
         q = np.random.default_rng(0).standard_normal((unit.shape[1], min(k + 8, unit.shape[1]))).astype(np.float32)
         for _ in range(3):
             q = np.linalg.qr(unit.T @ (unit @ q))[0]
@@ -86,8 +87,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
     labels: doc_id, quality (0 or 1; other values and nulls are left out; of labels that repeat a doc_id the smallest
     counts). docs that repeat a doc_id count once. Without a labelled document every score is 0.5.
     """
-    usable = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE_ROWS).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    usable = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = [terms(t).astype(np.float16).tobytes() for t in batch.column(2).to_pylist()]
@@ -96,8 +97,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
     # At most SAMPLE_ROWS rows of two numbers are broadcast, so the documents are read where they are.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text")
     rows = map_rows(sample, "doc_id long, quality int, counts binary", each).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("counts").alias("counts")).orderBy("doc_id").collect()
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.float16).reshape(-1, TERMS).astype(np.float32)
-    return Voters.fit(counts, np.array([r["quality"] for r in rows], np.float32))
+    counts = np.empty((len(rows), TERMS), np.float32)
+    for i, row in enumerate(rows):
+        counts[i] = np.frombuffer(row["counts"], np.float16)
+    voters = Voters.fit(counts, np.array([r["quality"] for r in rows], np.float32))
+    del rows, counts
+    give_back()  # the driver keeps what is broadcast only
+    return voters
 
 
 def score(docs: DataFrame, voters: Voters, threshold: float = THRESHOLD) -> DataFrame:

@@ -60,8 +60,7 @@ def test_quality_edges(spark):
 def test_quality_votes_equal_brute_force():
     rng = np.random.default_rng(0)
     texts = ["".join(rng.choice(list("abc $"), 50)) for _ in range(60)]
-    counts = np.stack([quality.terms(t) for t in texts])
-    voters = quality.Voters.fit(counts, rng.integers(0, 2, 60).astype(np.float32))
+    voters = quality.Voters.fit(np.stack([quality.terms(t) for t in texts]), rng.integers(0, 2, 60).astype(np.float32))
     unit = lambda x: x / np.linalg.norm(x)
     for text, score in zip(texts[:10], voters.score(texts[:10]), strict=True):
         near = np.array([unit(unit(quality.terms(text)) @ voters.directions) @ v for v in voters.vectors])
