@@ -225,7 +225,8 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labels = components(links(distinct.select("fp", F.col("fp").alias("label")), radius, chunk))
     linked = distinct.join(labels, distinct["fp"] == labels["node"]).select("fp", "label", "first")
-    smallest = linked.groupBy("label").agg(F.min("first").alias("smallest"))
+    smallest = cut_lineage(linked.groupBy("label").agg(F.min("first").alias("smallest")))
     reached = linked.join(smallest, "label").select("fp", "smallest")
     by_fp = distinct.join(reached, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
+    by_fp = cut_lineage(by_fp)  # so that the join shuffles both sides, and Spark can split a fingerprint that very many have
     return rows.join(by_fp, "fp").select("doc_id", "fp", "tag", "component_id")
