@@ -139,6 +139,74 @@ def test_near_copies_equal_brute_force(spark, chunk_bytes):
     assert sorted(r.doc_id for r in out.collect()) == sorted({rows[r][0] for r in root})
 
 
+def _block_edits(seed, pairs=20):
+    """Each text beside itself with a block appended, cut off or replaced, so that the similarity is just 0.8 or just less."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    out = []
+    for edit in ("append", "cut", "replace"):
+        for k in range(pairs):
+            words = [word() for _ in range(rng.choice([24, 44, 120, 400]))]
+            n = len(words) - 4
+            if edit == "append":  # n of n + x shingles
+                other = words + [word() for _ in range(n // 4 + k % 2)]
+            elif edit == "cut":  # n - x of n
+                other = words[n // 5 + k % 2 :]
+            else:  # n - x of n + x, a block of x words at the end
+                x = n // 9 + k % 2
+                other = words[:-x] + [word() for _ in range(x)]
+            out += [" ".join(words), " ".join(other)]
+    return list(enumerate(out))
+
+
+def _kept(rows):
+    sets = [frozenset(near_copies.shingle_set((t or "").encode()).tolist()) for _, t in rows]
+    return sorted({rows[r][0] for r in _groups(sets, lambda a, b: near_copies.similar(a, b, 0.8))})
+
+
+def test_near_copies_find_block_edits(spark):
+    rows = _block_edits(1)
+    want = _kept(rows)
+    assert len(rows) * 0.5 < len(want) < len(rows) * 0.9
+    assert sorted(r.doc_id for r in near_copies.keep_one(frame(spark, rows)).collect()) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_similar_sets_share_a_prefix_and_pass_the_sketch(seed):
+    rng = np.random.default_rng(seed)
+    for size in (0, 1, 2, 5, 9, 40, 333, 2000, 9000):
+        a = rng.integers(0, 2**64, size, dtype=np.uint64)
+        common = np.unique(a[rng.random(size) < 0.7])
+        counts = rng.integers(2, 9, len(common))
+        for gone, more in [(0, 0.25), (0.2, 0), (1 / 9, 1 / 9), (0.05, 0.1)]:
+            b = np.r_[a[int(gone * size) :], rng.integers(0, 2**64, int(more * size), dtype=np.uint64)]
+            a, b = np.unique(a), np.unique(b)
+            assert near_copies.similar(frozenset(a.tolist()), frozenset(b.tolist()), 0.8)
+            for known in ((common, counts), (common[:0], counts[:0])):
+                assert set(near_copies.prefix(a, 0.8, *known).tolist()) & set(near_copies.prefix(b, 0.8, *known).tolist())
+            sketches = near_copies.Sketches(np.array([len(a), len(b)]), [near_copies.parity(x).tobytes() for x in (a, b)], 0.8)
+            assert sketches.may(0, np.array([1])).all() and [x.tolist() for x in sketches.links(np.array([0]))] == [[0], [1]]
+        other = near_copies.parity(rng.integers(0, 2**64, size, dtype=np.uint64)).tobytes()
+        if size > 2:
+            assert not near_copies.Sketches(np.array([len(a), size]), [near_copies.parity(a).tobytes(), other], 0.8).may(0, np.array([1])).any()
+
+
+@pytest.mark.parametrize("chunk", [5, 4096])
+def test_candidate_links_in_large_buckets(spark, chunk):
+    rng = random.Random(chunk)
+    lines = [" ".join(f"l{k}x{i}" for i in range(12)) for k in range(6)]
+    texts = [" ".join(rng.sample(lines, rng.randrange(1, 6))) for _ in range(80)]
+    rows = list(enumerate(sorted(set(texts))))
+    df = frame(spark, rows)
+    tag = F.xxhash64("text")
+    node = {r.tag: r.doc_id for r in df.select("doc_id", tag.alias("tag")).collect()}
+    links = [(node[r.u], node[r.v]) for r in near_copies.candidate_links(df, tag, len(rows), 0.8, 5, chunk).collect()]
+    sets = [frozenset(near_copies.shingle_set(t.encode()).tolist()) for _, t in rows]
+    joined = _groups(list(range(len(rows))), lambda a, b: (a, b) in links or (b, a) in links)
+    similar = [(i, j) for i in range(len(rows)) for j in range(i) if near_copies.similar(sets[i], sets[j], 0.8)]
+    assert similar and all(joined[i] == joined[j] for i, j in similar)
+
+
 def test_near_copies_keep_different_texts(spark):
     rng = random.Random(3)
     shared = " ".join(f"s{i}" for i in range(60))
