@@ -171,6 +171,19 @@ def test_near_copies_find_block_edits(spark):
     assert sorted(r.doc_id for r in near_copies.keep_one(frame(spark, rows)).collect()) == want
 
 
+def test_near_copies_find_repeated_passages(spark):
+    rng = random.Random(5)
+    rows = []
+    for times in (2, 4, 8):
+        for _ in range(8):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+            rows += [" ".join(words), " ".join(words + words[:30] * times)]
+    rows = list(enumerate(rows))
+    want = _kept(rows)
+    assert len(want) == len(rows) // 2
+    assert sorted(r.doc_id for r in near_copies.keep_one(frame(spark, rows)).collect()) == want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_similar_sets_share_a_prefix_and_pass_the_sketch(seed):
     rng = np.random.default_rng(seed)
