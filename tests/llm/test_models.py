@@ -171,3 +171,29 @@ def test_pipeline(spark, sf):
     for doc in packed:
         mine = [r for r in pieces if r.doc_id == doc]
         assert sum(r.length for r in mine) == mine[0].doc_tokens
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark, sf):
+    import re
+
+    import corpus_pipeline
+    from siftline.llm import near_copies, quality
+
+    docs = queries.table(spark, sf, "documents")
+    model = quality.learn(docs, queries.table(spark, sf, "labels").where(~is_held_out(F.col("doc_id"), 5, 0)))
+    good = quality.keep_good(docs, model).localCheckpoint()
+    known = language_id.keep_identified(good, language_id.learn(good.where(~is_held_out(F.col("doc_id"), 4, 2)))).select("doc_id", "text").collect()
+    exact = {}
+    for r in known:
+        key = re.sub(r"[\x20\x09-\x0D]", "", r.text or "")
+        exact[key] = min(exact.get(key, (1, 0, "")), (-len(r.text or ""), r.doc_id, r.text or ""))
+    left = sorted((i, t) for _, i, t in exact.values())
+    sets = [frozenset(near_copies.shingle_set(t.encode()).tolist()) for _, t in left]
+    root = list(range(len(left)))
+    for i in range(len(left)):
+        for j in range(i):
+            if near_copies.similar(sets[i], sets[j], 0.8) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    want = {left[r][0] for r in root if left[r][1].split()}
+    assert {r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()} == want
