@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder in spark.checkpoint.dir. Where none is set: a temporary one on one machine, an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='siftline-')}"
         spark.sparkContext.setCheckpointDir(found)
     return found
