@@ -9,11 +9,13 @@ one run of the next level, so a batch meets a number of runs that grows with the
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm.common import ASCII_SPACE, ascii_lower, scratch
+from siftline.llm.common import ASCII_SPACE, ascii_lower, integral, scratch
 
 MIN_KEY = 10
 #: A null doc_id comes after every other.
@@ -30,8 +32,24 @@ def key_hash(key: Column) -> Column:
     return F.unhex(F.md5(key))
 
 
+@contextmanager
+def sorted_runs(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, Spark takes a bucket that is one sorted file as sorted, so a run is merged and not sorted anew."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class LineRuns:
-    """The runs of line hashes, kept as bucketed and sorted tables in ``folder``."""
+    """The runs of line hashes, kept as bucketed and sorted tables in ``folder``; ``close`` drops them.
+
+    A run is written from rows that are already hashed to as many partitions as it has buckets, so each bucket is one
+    file, sorted by h.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, fanout: int = 4, buckets: int | None = None):
         if fanout < 2:
@@ -39,33 +57,36 @@ class LineRuns:
         self.spark, self.folder, self.fanout = spark, folder, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.written: list[str] = []
 
-    def _write(self, hashes: DataFrame, level: int) -> None:
+    def write(self, hashes: DataFrame, level: int = 0) -> DataFrame:
+        """A new run of hashes that no run has, read back."""
         name = f"line_run_{uuid.uuid4().hex}"
-        hashes.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").option("path", f"{self.folder}/{name}").saveAsTable(name)
+        self.written.append(name)
+        hashes.write.bucketBy(self.buckets, "h").sortBy("h").option("path", f"{self.folder}/{name}").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
+        return self.spark.table(name)
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def without(self, hashes: DataFrame) -> DataFrame:
-        """The rows of hashes whose h is in no run."""
+        """The rows of hashes whose h is in no run: a merge with each."""
         for name in self.runs():
-            hashes = hashes.join(self.spark.table(name), "h", "left_anti")
+            hashes = hashes.hint("merge").join(self.spark.table(name).select("h").hint("merge"), "h", "left_anti")
         return hashes
 
-    def add(self, hashes: DataFrame) -> None:
-        """A new run of distinct hashes that no run has; full levels are compacted."""
-        self._write(hashes.select("h"), 0)
+    def compact(self) -> None:
+        """Full levels become one run of the next: their sorted buckets are merged, without a shuffle."""
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            merged = self.spark.table(old[0])
-            for name in old[1:]:
-                merged = merged.unionByName(self.spark.table(name))
-            self._write(merged, level + 1)
+            merged = self.spark.table(old[0]).select("h").hint("merge")
+            for name in old[1:]:  # no two runs share a hash, so a full join is their merge
+                merged = merged.join(self.spark.table(name).select("h").hint("merge"), "h", "full_outer")
+            self.write(merged, level + 1)
             self._drop(old)
             level += 1
 
@@ -74,9 +95,10 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.written.remove(name)
 
-    def drop(self) -> None:
-        self._drop(self.runs())
+    def close(self) -> None:
+        self._drop(list(self.written))
         self.levels = []
 
 
@@ -96,11 +118,12 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2, min_key: int
     with all its lines there; shorter keys always stay. Keys are compared by 128 bits of MD5. Null text and empty
     text are one empty line. A null doc_id comes last, and all null doc_ids are one document; rows that repeat a
     doc_id are one document too, each keeping its own lines. An empty table gives no rows. ``batches`` splits
-    doc_id into ranges of about as many rows; the result is the same for any number.
+    doc_id into ranges of about as many rows; the result is the same for any number. doc_id must be a whole number;
+    other columns of docs are not read.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "lines")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"))
+    texts = integral(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"))
     texts = texts.withColumn("tag", F.xxhash64("text"))  # tells rows with one doc_id apart
 
     edges = texts.agg(F.percentile_approx("id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or [] if batches > 1 else []
@@ -116,15 +139,16 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2, min_key: int
     keys = spark.read.schema("id long, tag long, pos int, h binary, batch int").parquet(f"{folder}/keys")
 
     runs = LineRuns(spark, folder, fanout)
-    for i in range(number):
-        lines = keys.where(F.col("batch") == i).select(F.col("id").alias("doc_id"), "tag", "pos", "h")
-        fresh_hashes(runs, lines).write.parquet(f"{folder}/fresh/{i}")
-        fresh = spark.read.schema("h binary, owner long").parquet(f"{folder}/fresh/{i}")
-        dropped = lines.join(fresh, (lines["h"] == fresh["h"]) & (lines["doc_id"] == fresh["owner"]), "left_anti")
-        dropped.select("doc_id", "tag", "pos").write.parquet(f"{folder}/dropped/{i}")
-        if i + 1 < number:
-            runs.add(fresh)
-    runs.drop()
+    try:
+        with sorted_runs(spark):
+            for i in range(number):
+                lines = keys.where(F.col("batch") == i).select(F.col("id").alias("doc_id"), "tag", "pos", "h")
+                fresh = runs.write(fresh_hashes(runs, lines))
+                dropped = lines.join(fresh, (lines["h"] == fresh["h"]) & (lines["doc_id"] == fresh["owner"]), "left_anti")
+                dropped.select("doc_id", "tag", "pos").write.parquet(f"{folder}/dropped/{i}")
+                runs.compact()
+    finally:  # also where a batch fails, or the tables would stay in the catalog
+        runs.close()
 
     gone = spark.read.schema("doc_id long, tag long, pos int").parquet(*[f"{folder}/dropped/{i}" for i in range(number)])
     gone = gone.groupBy(F.col("doc_id").alias("id"), "tag").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
