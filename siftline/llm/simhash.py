@@ -18,17 +18,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import cut_lineage, frugal, map_rows
-from siftline.llm.components import components
+from siftline.llm.common import components, cut_lineage, frugal, integral, map_rows
 
 SEED = 42
 RADIUS = 3
 WIDTH = 3
 #: Distinct fingerprints of one bucket that one task compares; a larger bucket is dealt out as pairs of chunks.
-CHUNK = 512
+CHUNK = 2048
 FAN = 8
 AGREE = 2
-_BLOCK = 1 << 21  # candidate pairs that the search holds at once
+_BLOCK = 1 << 19  # candidate pairs that the search holds at once
 
 
 # --- fingerprints
@@ -93,6 +92,7 @@ class GrayIndex:
     def __init__(self, bucket: np.ndarray, fp: np.ndarray, label: np.ndarray):
         self.order = np.lexsort((gray_rank(fp), bucket))
         self.fp, self.label, bucket = fp[self.order], label[self.order], bucket[self.order]
+        self.given = self.label
         self.tree = owner = np.cumsum(np.r_[True, bucket[1:] != bucket[:-1]]) - 1
         self.size = np.bincount(self.tree)[self.tree]
         #: From the fingerprints upwards: shared bits, their mask less what is shared above, label range, children.
@@ -113,6 +113,13 @@ class GrayIndex:
                 break
         self.top = (value, mask)
 
+    def relabel(self, label: np.ndarray) -> None:
+        """Takes larger groups as labels, so that nodes which have become one group are dropped whole from here on."""
+        self.label = low = high = label
+        for depth, (value, mask, _, _, starts, ends) in enumerate(self.levels):
+            self.levels[depth] = (value, mask, low, high, starts, ends)
+            low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+
     def links(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of (i, j), i before j in index order: all pairs of a bucket within radius and of different labels."""
         load = np.cumsum(self.size)
@@ -140,22 +147,30 @@ class GrayIndex:
 
 
 def spanning(index: GrayIndex, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of labels that join what the pairs within radius join, at most one for each label."""
-    _, first, root = np.unique(index.label, return_index=True, return_inverse=True)
+    """Pairs of labels that join what the pairs within radius join, at most one for each label.
+
+    What a block of queries has joined is one group for the next: a cluster of n near copies costs about n comparisons
+    once it hangs together, not their square.
+    """
+    _, first, root = np.unique(index.given, return_index=True, return_inverse=True)
     root = first[root]  # rows of one label start as one
     start = root.copy()
     for i, j in index.links(radius):
+        joined = False
         while len(i):
             a, b = root[i], root[j]
             apart = a != b
             if not apart.any():
                 break
+            joined = True
             i, j, a, b = i[apart], j[apart], a[apart], b[apart]
             np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
             while (root[root] != root).any():
                 root = root[root]
+        if joined:
+            index.relabel(root)
     moved = np.unique(start[root != start])
-    return index.label[moved], index.label[root[moved]]
+    return index.given[moved], index.given[root[moved]]
 
 
 def bucket_masks(radius: int, agree: int = AGREE) -> list[int]:
@@ -219,9 +234,9 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk
     Null and empty texts and texts of white space have fingerprint zero and link like any other. Null doc_ids take
     part; component_id is null only where all of a component's doc_ids are. Equal fingerprints are merged before
     anything is compared, so copies cost nothing further. Repeated rows are returned as often as they come; an empty
-    table gives no rows. Other columns of docs are not read.
+    table gives no rows. Other columns of docs are not read. doc_id must be a whole number.
     """
-    rows = cut_lineage(fingerprints(docs, width))
+    rows = cut_lineage(fingerprints(integral(docs), width))
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labels = components(links(distinct.select("fp", F.col("fp").alias("label")), radius, chunk))
     linked = distinct.join(labels, distinct["fp"] == labels["node"]).select("fp", "label", "first")
