@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import unicodedata
 from functools import cache
 
@@ -29,6 +30,9 @@ LETTER, NUMBER, OTHER, SHORT, LONG, SPACE, JOINS, ALONE, END = range(9)
 FRESH, IN_LETTER, IN_NUMBER, IN_OTHER, JOINING, IN_SPACE, ONE_LEFT, TWO_LEFT = range(8)
 _HEIGHT = 64
 _SEPARATOR = 0x110000
+#: Code points or tokens of a long text that are handled at once, and where a text may be cut without cutting a piece.
+_PART = 1 << 18
+_CUT = re.compile(r"(?<=[^\s])[ \n]")
 
 #: White space of the pattern's \s: the code points with the Unicode property White_Space. Fixed values.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -192,17 +196,30 @@ class ByteBPE:
             out.append(b"".join(found))
         return out
 
+    def encode_long(self, text: str) -> bytes:
+        """As encode_batch for a text of any length, by parts that end where a space follows another sign: a piece ends there."""
+        out, at = [], 0
+        while at < len(text):
+            cut = _CUT.search(text, at + _PART)
+            end = cut.start() if cut else len(text)
+            out += self.encode_batch([text[at:end]])
+            at = end
+        return b"".join(out)
+
     def offsets(self, ids: bytes) -> np.ndarray:
         """Where each token starts in its text's bytes, and the end of the last."""
         return np.r_[0, np.cumsum(self.length[np.frombuffer(ids, "<u4")])]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of all tokens: each byte's place in the vocabulary follows from its token's offset."""
-        tokens = np.frombuffer(ids, "<u4")
-        length = self.length[tokens]
-        ends = np.cumsum(length)
-        where = np.repeat(self.place[tokens] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        return self.blob[where].tobytes()
+        out = []
+        for at in range(0, len(ids), 4 * _PART):
+            tokens = np.frombuffer(ids[at : at + 4 * _PART], "<u4")
+            length = self.length[tokens]
+            ends = np.cumsum(length)
+            where = np.repeat(self.place[tokens] - (ends - length), length) + np.arange(ends[-1])
+            out.append(self.blob[where].tobytes())
+        return b"".join(out)
 
 
 @cache
@@ -222,9 +239,10 @@ def encode(docs: DataFrame, path: str, columns: tuple[str, ...] = ("ids", "offse
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(path)
-        ids = bpe.encode_batch([t or "" for t in batch.column(1).to_pylist()])
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        ids = [bpe.encode_long(texts[0])] if len(texts) == 1 else bpe.encode_batch(texts)
         made = {"ids": lambda x: x, "offsets": lambda x: bpe.offsets(x).astype("<u4").tobytes(), "decoded": bpe.decode}
         return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([made[c](x) for x in ids], pa.binary()) for c in columns]], ["doc_id", *columns])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", F.col("text")), ", ".join([f"doc_id {kind}", *[f"{c} binary" for c in columns]]), each, rows=256)
+    return map_rows(docs.select("doc_id", F.col("text")), ", ".join([f"doc_id {kind}", *[f"{c} binary" for c in columns]]), each, rows=256, most_bytes=1 << 20)
