@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from siftline.llm.common import frugal
+from siftline.llm.common import frugal, slices
 
 TIERS = (128, 256, 512, 1024)
 STEP_TOKENS = 65_536
@@ -35,7 +35,7 @@ class Ids:
 
     Where the file is plain byte-level BPE whose merges are in the order of their ids, a rank-based encoder gives the
     same ids faster; a text that contains the string of a special token goes to the library itself, as do all texts
-    of any other file.
+    of any other file and texts that the faster encoder gives up on.
     """
 
     def __init__(self, path: str):
@@ -70,7 +70,12 @@ class Ids:
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.array(self.fast.encode_ordinary(text), "<u4")
+        try:
+            return np.array(self.fast.encode_ordinary(text), "<u4")
+        except BaseException as e:  # the encoder's pattern gives up on very long runs of white space; the library doesn't
+            if type(e).__name__ != "PanicException":
+                raise
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @cache
@@ -193,13 +198,14 @@ def pack(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, step_tokens
             if schema is None:
                 kinds = [batch.schema.field(0).type, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 3, pa.int32(), pa.int64()]
                 schema = pa.schema(list(zip(names, kinds, strict=True)))
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.concatenate([encode(text or ""), end])
-                held += packer.add((key, ids), len(ids))
-                tokens += len(ids)
-                if tokens >= _BLOCK_TOKENS:
-                    yield from rows([*held, *packer.pack()])
-                    held, tokens = [], 0
+            for part in slices(batch):
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = np.concatenate([encode(text or ""), end])
+                    held += packer.add((key, ids), len(ids))
+                    tokens += len(ids)
+                    if tokens >= _BLOCK_TOKENS:
+                        yield from rows([*held, *packer.pack()])
+                        held, tokens = [], 0
         if schema is not None:
             yield from rows([*held, *packer.pack(), *packer.pack(last=True)])
 
