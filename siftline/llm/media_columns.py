@@ -107,14 +107,26 @@ class Container:
         if not self.tracks:
             raise BadMedia("no track")
 
-    def _walk(self, start: int, end: int, found: dict[bytes, tuple[int, int]]) -> dict[bytes, tuple[int, int]]:
-        for kind, a, b in boxes(self.data, start, end):
-            if kind in CONTAINERS:
-                self._walk(a, b, found)
+    def _walk(self, start: int, end: int) -> dict[bytes, tuple[int, int]]:
+        """The first box of each type at any depth; boxes that wait are on a stack, so nesting has no limit."""
+        found: dict[bytes, tuple[int, int]] = {}
+        stack = [boxes(self.data, start, end)]
+        while stack:
+            kind, a, b = next(stack[-1], (None, 0, 0))
+            if kind is None:
+                stack.pop()
+            elif kind in CONTAINERS:
+                stack.append(boxes(self.data, a, b))
             else:
                 found.setdefault(kind, (a, b))
         return found
 
+    def _count(self, count: int, size: int = 1) -> int:
+        """count, which no table may claim if its samples don't fit the file."""
+        if count * max(size, 1) > len(self.data):
+            raise BadMedia(f"{count} samples of {size} bytes don't fit the file")
+        return count
+
     def _moov(self, start: int, end: int) -> None:
         for kind, a, b in boxes(self.data, start, end):
             if kind == b"trak":
@@ -126,7 +138,7 @@ class Container:
                         self.defaults[number] = (duration, size, flags)
 
     def _trak(self, start: int, end: int) -> Track:
-        found, data = self._walk(start, end, {}), self.data
+        found, data = self._walk(start, end), self.data
         track = Track(found=found)
         if b"tkhd" in found:
             at = found[b"tkhd"][0]
@@ -164,7 +176,7 @@ class Container:
                     flags_of = struct.unpack_from(">I", data, place)[0]
                 origin = at
             elif kind == b"trun" and track is not None:
-                count, place = struct.unpack_from(">I", data, a + 4)[0], a + 8
+                count, place = self._count(struct.unpack_from(">I", data, a + 4)[0]), a + 8
                 if flags & 0x1:
                     at, place = origin + struct.unpack_from(">i", data, place)[0], place + 4
                 first = struct.unpack_from(">I", data, place)[0] if flags & 0x4 else flags_of
@@ -174,7 +186,7 @@ class Container:
                     raise BadMedia("a cut run of samples")
                 rows = np.frombuffer(data, ">u4", count * len(columns), place).astype(np.int64).reshape(count, len(columns))
                 by = {bit: rows[:, i] for i, bit in enumerate(columns)}
-                sizes = by.get(0x200, np.full(count, size, np.int64))
+                sizes = by[0x200] if 0x200 in by else np.full(self._count(count, size), size, np.int64)
                 how = by.get(0x400, np.r_[first, np.full(max(count - 1, 0), flags_of, np.int64)][:count].astype(np.int64))
                 track.sizes.append(sizes)
                 track.offsets.append(at + np.cumsum(sizes) - sizes)
@@ -187,9 +199,11 @@ class Container:
         found, data = track.found, self.data
         if b"stsz" in found:
             size, count = struct.unpack_from(">II", data, found[b"stsz"][0] + 4)
-            sizes = np.full(count, size, np.int64) if size else _table(data, found[b"stsz"], 1, skip=8)[:, 0]
+            sizes = np.full(self._count(count, size), size, np.int64) if size else _table(data, found[b"stsz"], 1, skip=8)[:, 0]
         elif b"stz2" in found:
             bits, count = struct.unpack_from(">BI", data, found[b"stz2"][0] + 7)
+            if bits not in (4, 8, 16) or found[b"stz2"][0] + 12 + -(-count * bits // 8) > found[b"stz2"][1]:
+                raise BadMedia(f"{count} sizes of {bits} bits")
             if bits == 4:
                 nibbles = np.frombuffer(data, np.uint8, -(-count // 2), found[b"stz2"][0] + 12).astype(np.int64)
                 sizes = np.stack([nibbles >> 4, nibbles & 15], axis=1).reshape(-1)[:count]
@@ -206,10 +220,11 @@ class Container:
             runs = _table(data, found[b"stsc"], 3) if b"stsc" in found else np.zeros((0, 3), np.int64)
             if not len(runs) or runs[0, 0] != 1 or (np.diff(runs[:, 0]) <= 0).any():
                 raise BadMedia("chunks without samples")
-            each = np.repeat(runs[:, 1], np.diff(np.r_[runs[:, 0], max(len(chunks) + 1, runs[-1, 0])]))[: len(chunks)]
+            firsts = np.minimum(np.r_[runs[:, 0], len(chunks) + 1], len(chunks) + 1)
+            each = np.repeat(runs[:, 1], np.diff(firsts))
             if each.sum() < len(sizes):
                 raise BadMedia("samples without chunks")
-            chunk = np.repeat(np.arange(len(chunks)), each)[: len(sizes)]
+            chunk = np.searchsorted(np.cumsum(each), np.arange(len(sizes)), "right")
             before = np.cumsum(sizes) - sizes
             first = np.r_[True, chunk[1:] != chunk[:-1]]
             offsets = chunks[chunk] + before - np.maximum.accumulate(np.where(first, before, 0))
@@ -219,13 +234,13 @@ class Container:
             sync[:] = False
             sync[listed[(listed >= 1) & (listed <= len(sizes))] - 1] = True
         out = [np.concatenate([a, *b]) for a, b in ((offsets, track.offsets), (sizes, track.sizes), (sync, track.syncs))]
-        if len(out[0]) and (out[0] + out[1]).max() > len(self.data):
-            raise BadMedia("samples beyond the end")
+        if len(out[0]) and (out[0].min() < 0 or (out[0] + out[1]).max() > len(self.data)):
+            raise BadMedia("samples beyond the file")
         return out[0], out[1], out[2].astype(bool)
 
     def duration(self, track: Track) -> float:
         """Seconds, by the samples' times, else by the header."""
-        ticks = int(np.prod(_table(self.data, track.found[b"stts"], 2), axis=1).sum()) if b"stts" in track.found else 0
+        ticks = sum(n * each for n, each in _table(self.data, track.found[b"stts"], 2).tolist()) if b"stts" in track.found else 0
         ticks = ticks + track.fragment_ticks or track.duration
         return ticks / track.timescale if track.timescale else 0.0
 
@@ -234,6 +249,8 @@ class Container:
         offsets, sizes, _ = self.samples(track)
         if len(sizes) and (offsets[1:] == offsets[:-1] + sizes[:-1]).all():
             return bytes(self.data[int(offsets[0]) : int(offsets[-1] + sizes[-1])])
+        if sizes.sum() > len(self.data):
+            raise BadMedia("samples that overlap have more bytes than the file")
         return b"".join(self.data[a : a + n] for a, n in zip(offsets.tolist(), sizes.tolist(), strict=True))
 
 
@@ -334,8 +351,8 @@ def probe(media: DataFrame, with_payload: bool = False) -> DataFrame:
                 keys = [{"start": a, "end": a + n} for a, n in zip(offsets[sync].tolist(), sizes[sync].tolist(), strict=True)]
                 tracks.append({"track_id": t.number, "handler": t.handler, "codec": t.codec, "timescale": t.timescale, "duration_s": file.duration(t), "n_samples": len(sizes), "keyframes": keys})
             return file.brand, tracks, None, file.payload(file.tracks[0]) if with_payload else None
-        except BadMedia as e:
-            return None, None, str(e), None
+        except (ValueError, struct.error, TypeError, IndexError, OverflowError) as e:
+            return None, None, str(e) or type(e).__name__, None
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         brand, tracks, error, payload = zip(*[one(d) for d in batch.column(at).to_pylist()], strict=True)
