@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from siftline.llm.common import frugal, map_rows
+from siftline.llm.common import frugal, map_rows, slices
 
 UNDETERMINED = "und"
-#: Bounds of what is learned from: rows of each language, code points of each row (from its middle), bytes of a dictionary,
-#: and languages. So what is broadcast is at most 256 x 64 KB.
-SAMPLE_ROWS, SAMPLE_POINTS, DICT_BYTES, MOST_LANGUAGES = 96, 1024, 1 << 16, 256
+#: Bounds of what is learned from: rows of each language, each whole, and languages.
+SAMPLE_ROWS, MOST_LANGUAGES = 32, 256
+#: A dictionary's content must have so many bytes; a language with less text has it repeated.
+LEAST_BYTES = 8
 BLOCK, LEVEL = 4096, 6
 #: Relative difference of the two smallest sizes below which a prediction is rejected.
 MIN_MARGIN = 0.01
@@ -66,7 +67,8 @@ class Dictionaries:
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary's content for each non-null lang of docs, the language with most rows first.
 
-    Rows are chosen by a hash of doc_id, the same ones whatever the order. More than MOST_LANGUAGES: an error.
+    At most SAMPLE_ROWS rows of each are taken, whole, chosen by a hash of doc_id: the same ones whatever the order. A
+    language whose rows have no letter can't be told and is left out. More than MOST_LANGUAGES: an error.
     """
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
@@ -79,13 +81,12 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     order = F.xxhash64("doc_id", F.length("text"))
     some = known.withColumn("order", order).where((F.col("order").cast("double") / 2.0**64 + 0.5) <= share[F.col("lang")])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    middle = F.substring("text", F.greatest(F.lit(1), (F.length("text") / 2).cast("int") - SAMPLE_POINTS // 2), F.lit(SAMPLE_POINTS))
-    once = some.groupBy("lang", "order", "doc_id").agg(F.min(middle).alias("text"))  # a row that repeats very often is one
+    once = some.groupBy("lang", "order", "doc_id").agg(F.min("text").alias("text"))  # a row that repeats very often is one
     rows = once.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").select("lang", "text").collect()
     out = {r["lang"]: b"" for r in counted}
     for lang, text in rows:
         out[lang] += letters(text).encode() + b" "
-    return {lang: sample[:DICT_BYTES] for lang, sample in out.items() if len(sample.strip()) >= 8}
+    return {lang: sample * -(-LEAST_BYTES // len(sample)) for lang, sample in out.items() if sample.strip()}
 
 
 def predict(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -98,11 +99,10 @@ def predict(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionaries = Dictionaries(samples)
-        for batch in batches:
-            found = [dictionaries.predict(t) for t in batch.column(1).to_pylist()]
-            langs, scores, margins = zip(*found, strict=True) if found else ((), (), ())
+        for part in (p for batch in batches for p in slices(batch)):
+            langs, scores, margins = zip(*map(dictionaries.predict, part.column(1).to_pylist()), strict=True)
             rejected = [lang == UNDETERMINED or m < min_margin for lang, m in zip(langs, margins, strict=True)]
-            arrays = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())]
+            arrays = [part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "margin", "rejected"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -110,7 +110,11 @@ def predict(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_
 
 
 def keep_identified(docs: DataFrame, samples: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
-    """The rows of docs whose prediction is not rejected, all columns as they were."""
+    """The rows of docs whose prediction is not rejected, all columns as they were.
+
+    A null text, an empty one and one without a letter are rejected; ties have no margin and are rejected. Rows that
+    repeat are judged alike. An empty table gives no rows, and where no language was learned none stay.
+    """
     at = docs.columns.index("text")
     state: dict[str, Dictionaries] = {}
 
