@@ -7,14 +7,19 @@ is, for each place where a token that is still growing could start, its node in
 the place and the count there. A transition carries how many tokens its character adds to the count of the prefix,
 which may be negative when tokens merge. States are compiled when first reached.
 
-A chunk of text is a map from entry state to exit state and count. From the first place that no token can span, the
-map no longer depends on its entry, so it is kept as the head that does and the count and state after it. Maps
-compose associatively; a prefix scan by doubling composes the chunks of a long text.
+A chunk of text is a map from entry states to exit states and counts, kept as a table. From the first place that no
+token can span the map no longer depends on its entry, so only the head before it is read for each entry; the rest is read
+once. The table of a chunk starts with the entry that the text just before the chunk leads to from the start state, which
+is nearly always the true one, as states forget what is far behind; an entry that a table lacks is added when maps are
+composed, so counts are exact whatever was expected. Maps compose associatively; a scan composes the chunks of a long text
+in pairs.
 """
 
 from __future__ import annotations
 
+import re
 import struct
+from collections.abc import Callable
 from functools import cache
 
 import pyarrow as pa
@@ -25,6 +30,9 @@ from siftline.llm.common import map_rows
 
 SPACE = "▁"
 _CHUNK = 1 << 16
+#: Characters before a chunk from which its entry state is expected.
+_BEFORE = 256
+_ANEW = re.compile(f"[^{SPACE}](?={SPACE})")
 _NEVER = float("inf")
 
 
@@ -84,12 +92,29 @@ class State(dict):
 
 
 class ChunkMap:
-    """Characters that depend on the entry state, then (if the chunk has such a place) count and state after them."""
+    """A table from entry to (exit, count), both given as places; ``read`` finds the row of an entry that it lacks."""
 
-    __slots__ = ("head", "count", "state")
+    __slots__ = ("table", "read")
 
-    def __init__(self, head: str, count: int = 0, state: State | None = None):
-        self.head, self.count, self.state = head, count, state
+    def __init__(self, read: Callable[[tuple], tuple[tuple, int]], *entries: tuple):
+        self.read, self.table = read, {}
+        for entry in entries:
+            self.at(entry)
+
+    def at(self, entry: tuple) -> tuple[tuple, int]:
+        if (row := self.table.get(entry)) is None:
+            row = self.table[entry] = self.read(entry)
+        return row
+
+    def then(self, right: ChunkMap) -> ChunkMap:
+        """First this map, then ``right``: for every entry of this table."""
+
+        def read(entry: tuple) -> tuple[tuple, int]:
+            middle, count = self.at(entry)
+            end, more = right.at(middle)
+            return end, count + more
+
+        return ChunkMap(read, *self.table)
 
 
 class Transducer:
@@ -190,50 +215,53 @@ class Transducer:
             self.words[word] = count
         return count
 
-    def chunk(self, text: str) -> ChunkMap:
-        """The map of a chunk, whose spaces are SPACE. The first space behind another character ends its head."""
-        parts = text.split(SPACE)
-        first = next((i for i in range(1, len(parts)) if parts[i - 1]), None)
-        if first is None:
-            return ChunkMap(text)
-        head, words = SPACE.join(parts[:first]), parts[first:]
-        if "" in words:  # runs of spaces belong to the word behind them
+    def _words(self, words: list[str]) -> int:
+        """Tokens of words, each with a space in front, from the start state; an empty one is a space more for the next."""
+        if "" in words:
             joined, spaces = [], ""
-            for w in words[:-1]:
+            for w in words:
                 if w:
                     joined.append(spaces + w)
                     spaces = ""
                 else:
                     spaces += SPACE
-            words = [*joined, spaces + words[-1]]
-        get = self.words.get
-        counts = [get(w) for w in words[:-1]]
-        count = sum([self._word(w) if n is None else n for w, n in zip(words, counts, strict=False)] if None in counts else counts)
-        state, last = self.run(SPACE + words[-1], self.start)
-        return ChunkMap(head, count + last, state)
-
-    def compose(self, left: ChunkMap, right: ChunkMap) -> ChunkMap:
-        """First left, then right."""
-        if left.state is None:
-            return ChunkMap(left.head + right.head, right.count, right.state)
-        state, count = self.run(right.head, left.state)
-        return ChunkMap(left.head, left.count + count + right.count, state if right.state is None else right.state)
-
-    def scan(self, maps: list[ChunkMap]) -> list[ChunkMap]:
-        """The maps of everything up to each chunk, by doubling."""
-        maps, reach = list(maps), 1
-        while reach < len(maps):
-            maps = maps[:reach] + [self.compose(a, b) for a, b in zip(maps, maps[reach:], strict=False)]
-            reach *= 2
-        return maps
+            words = joined
+        counts = [self.words.get(w) for w in words]
+        return sum([self._word(w) if n is None else n for w, n in zip(words, counts, strict=True)] if None in counts else counts)
+
+    def chunk(self, text: str, entry: tuple) -> ChunkMap:
+        """The map of a chunk, whose spaces are SPACE, with a row for ``entry``.
+
+        A space behind another character is where no token can span: what is read from there on starts anew.
+        """
+        first = next((m.start() + 1 for m in _ANEW.finditer(text)), len(text))
+        head, rest = text[:first], text[first:]
+        state, count = self.start, 0
+        if rest:
+            last = rest.rstrip(SPACE).rfind(SPACE) if rest.strip(SPACE) else 0
+            while last > 0 and rest[last - 1] == SPACE:
+                last -= 1
+            count = self._words(rest[1:last].split(SPACE)) if last > 0 else 0
+            state, tail = self.run(rest[max(last, 0) :], self.start)
+            count += tail
+        places = state.places
+
+        def read(entry: tuple) -> tuple[tuple, int]:
+            end, added = self.run(head, self._state(entry))
+            return (places, added + count) if rest else (end.places, added)
+
+        return ChunkMap(read, entry)
 
     def count(self, text: str) -> int:
         """Tokens of a whole text."""
         if not text:
             return 0
         text = SPACE + text.replace(" ", SPACE)
-        whole = self.scan([self.chunk(text[i : i + _CHUNK]) for i in range(0, len(text), _CHUNK)])[-1]
-        return self.run(whole.head, self.start)[1] + whole.count
+        begin = self.start.places
+        maps = [self.chunk(text[i : i + _CHUNK], self.run(text[max(0, i - _BEFORE) : i], self.start)[0].places) for i in range(0, len(text), _CHUNK)]
+        while len(maps) > 1:
+            maps = [a.then(b) for a, b in zip(maps[::2], maps[1::2], strict=False)] + maps[len(maps) - len(maps) % 2 :]
+        return maps[0].at(begin)[1]
 
 
 @cache
