@@ -8,12 +8,14 @@ vector is computed exactly, block by block, and the nearest vote with their simi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import give_back, map_rows
+from siftline.llm.common import give_back, integral, map_rows
 
 #: Bounds of what is learned from and broadcast: labelled texts, columns, directions (about 2 MB together).
 SAMPLE_ROWS, TERMS, DIMENSIONS = 3000, 4096, 64
@@ -49,19 +51,25 @@ class Voters:
         self.prior = float(labels.mean()) if len(labels) else 0.5
 
     @classmethod
-    def fit(cls, counts: np.ndarray, labels: np.ndarray) -> Voters:
-        """counts: a row of relative term counts for each label, scaled in place. The SVD is a randomised one with a fixed seed."""
-        k = min(DIMENSIONS, *counts.shape)
+    def fit(cls, counts: list[bytes], labels: np.ndarray) -> Voters:
+        """counts: relative term counts as 16-bit floats, for each label. The SVD is a randomised one with a fixed seed.
+
+        Rows are made unit vectors block by block at each pass, so the matrix is never held in full.
+        """
+        k = min(DIMENSIONS, len(counts), TERMS)
         if not k:
             return cls(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
-        unit = counts
-        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
-        q = np.random.default_rng(0).standard_normal((unit.shape[1], min(k + 8, unit.shape[1]))).astype(np.float32)
+
+        def blocks() -> Iterator[np.ndarray]:
+            for at in range(0, len(counts), 256):
+                yield _unit(np.stack([np.frombuffer(c, np.float16) for c in counts[at : at + 256]]).astype(np.float32))
+
+        q = np.random.default_rng(0).standard_normal((TERMS, min(k + 8, TERMS))).astype(np.float32)
         for _ in range(3):
-            q = np.linalg.qr(unit.T @ (unit @ q))[0]
-        _, _, right = np.linalg.svd(unit @ q, full_matrices=False)
+            q = np.linalg.qr(sum(b.T @ (b @ q) for b in blocks()))[0]
+        _, _, right = np.linalg.svd(np.concatenate([b @ q for b in blocks()]), full_matrices=False)
         directions = np.ascontiguousarray((q @ right.T)[:, :k])
-        return cls(directions, _unit(unit @ directions), labels.astype(np.float32))
+        return cls(directions, _unit(np.concatenate([b @ directions for b in blocks()])), labels.astype(np.float32))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         out = np.full(len(texts), self.prior)
@@ -85,7 +93,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
     """Voters from at most SAMPLE_ROWS labelled documents, chosen by a hash of doc_id.
 
     labels: doc_id, quality (0 or 1; other values and nulls are left out; of labels that repeat a doc_id the smallest
-    counts). docs that repeat a doc_id count once. Without a labelled document every score is 0.5.
+    counts). docs that repeat a doc_id count once. Without a labelled document every score is 0.5. doc_id must be a whole number.
     """
     usable = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
@@ -95,13 +103,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.binary())], ["doc_id", "quality", "counts"])
 
     # At most SAMPLE_ROWS rows of two numbers are broadcast, so the documents are read where they are.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text")
+    sample = integral(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text")
     rows = map_rows(sample, "doc_id long, quality int, counts binary", each).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("counts").alias("counts")).orderBy("doc_id").collect()
-    counts = np.empty((len(rows), TERMS), np.float32)
-    for i, row in enumerate(rows):
-        counts[i] = np.frombuffer(row["counts"], np.float16)
-    voters = Voters.fit(counts, np.array([r["quality"] for r in rows], np.float32))
-    del rows, counts
+    voters = Voters.fit([bytes(r["counts"]) for r in rows], np.array([r["quality"] for r in rows], np.float32))
+    del rows
     give_back()  # the driver keeps what is broadcast only
     return voters
 
@@ -122,7 +127,10 @@ def score(docs: DataFrame, voters: Voters, threshold: float = THRESHOLD) -> Data
 
 
 def keep_good(docs: DataFrame, voters: Voters, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that score at least ``threshold``, all columns as they were."""
+    """The rows of docs that score at least ``threshold``, all columns as they were.
+
+    Null and empty texts have the labels' mean as score. Rows that repeat are judged alike. An empty table gives no rows.
+    """
     at = docs.columns.index("text")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
