@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from siftline.llm import components, exact_dedup, line_dedup, near_copies, simhash
+from siftline.llm import common, exact_dedup, line_dedup, near_copies, simhash
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 
@@ -35,7 +35,9 @@ def test_exact_dedup_equals_brute_force(spark):
 
 def test_exact_dedup_tells_collisions_apart(spark):
     weak = lambda norm: F.lit(b"same")
-    assert exact_dedup.groups(frame(spark, ROWS), weak).count() == len({SPACE.sub("", t or "") for _, t in ROWS})
+    texts = [SPACE.sub("", t or "") for _, t in ROWS]
+    for hashed in (exact_dedup.content_hash, weak):
+        assert exact_dedup.classes(frame(spark, ROWS), hashed)[1].count() == len({t for t in texts if texts.count(t) > 1})
     strong, all_one = (sorted(map(tuple, exact_dedup.exact_dedup(frame(spark, ROWS), h).collect()), key=str) for h in (exact_dedup.content_hash, weak))
     assert strong == all_one
 
@@ -124,9 +126,9 @@ def test_every_close_pair_shares_a_bucket(radius):
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(1000, i) for i in range(900, 950)] + [(7, 7)]
-    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r.node: r.label for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 1 for i in range(1, 61)} | {i: 900 for i in [*range(900, 950), 1000]}
-    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
 @pytest.mark.parametrize("chunk_bytes", [200, 4 << 20])
@@ -211,9 +213,8 @@ def test_candidate_links_in_large_buckets(spark, chunk):
     texts = [" ".join(rng.sample(lines, rng.randrange(1, 6))) for _ in range(80)]
     rows = list(enumerate(sorted(set(texts))))
     df = frame(spark, rows)
-    tag = F.xxhash64("text")
-    node = {r.tag: r.doc_id for r in df.select("doc_id", tag.alias("tag")).collect()}
-    links = [(node[r.u], node[r.v]) for r in near_copies.candidate_links(df, tag, len(rows), 0.8, 5, chunk).collect()]
+    texts = df.select(near_copies.text_hash().alias("h"), F.col("doc_id").alias("tag"))
+    links = [(r.u, r.v) for r in near_copies.candidate_links(df, texts, 0.8, 5, chunk).collect()]
     sets = [frozenset(near_copies.shingle_set(t.encode()).tolist()) for _, t in rows]
     joined = _groups(list(range(len(rows))), lambda a, b: (a, b) in links or (b, a) in links)
     similar = [(i, j) for i in range(len(rows)) for j in range(i) if near_copies.similar(sets[i], sets[j], 0.8)]
@@ -277,8 +278,47 @@ def test_runs_are_compacted(spark):
 
     runs = line_dedup.LineRuns(spark, scratch(spark, "test"), fanout=2, buckets=2)
     for i in range(4):
-        runs.add(spark.createDataFrame([(bytearray([i]),)], "h binary"))
+        runs.write(spark.createDataFrame([(bytearray([i]),)], "h binary").repartition(2, "h"))
+        runs.compact()
     assert [len(x) for x in runs.levels] == [0, 0, 1]
     left = runs.without(spark.createDataFrame([(bytearray([i]),) for i in range(6)], "h binary"))
     assert sorted(bytes(r.h)[0] for r in left.collect()) == [4, 5]
-    runs.drop()
+    with line_dedup.sorted_runs(spark):  # the run is merged as it lies
+        plan = runs.without(spark.createDataFrame([(bytearray([9]),)], "h binary"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    runs.close()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_large_and_equal_buckets():
+    import pyarrow as pa
+
+    rows = [(1, 5), (1, 6), (2, 5), (2, 6), (3, 7), (4, 5), (4, 6), (4, 7), *[(5, i) for i in range(40)], (6, 1), (6, 2)]
+    for size in (1, 3, 100):
+        parts = [pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows[i : i + size]], pa.int64()), pa.array([b for _, b in rows[i : i + size]], pa.int64())], ["sig", "tag"]) for i in range(0, len(rows), size)]
+        found = {}
+        for batch in near_copies.buckets(8)(iter(parts)):
+            for sig, tag in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found.setdefault(sig, set()).add(tag)
+        assert sorted(map(sorted, found.values())) == [list(range(40)), [1, 2], [5, 6], [5, 6, 7]]
+
+
+@pytest.mark.parametrize("run", [exact_dedup.exact_dedup, exact_dedup.keep_one, simhash.near_groups, line_dedup.line_dedup, near_copies.keep_one])
+def test_doc_id_must_be_a_number(spark, run):
+    with pytest.raises(TypeError, match="whole number"):
+        run(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_near_copies_with_clashing_columns(spark):
+    rows = [(1, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2), (None, "q", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string, h long").withColumn("_h", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("first", F.lit(3))
+    out = near_copies.keep_one(df)
+    assert out.columns == df.columns and sorted(str(r.doc_id) for r in out.collect()) == ["1", "None"]
+
+
+def test_a_cluster_of_near_copies_is_joined_whole():
+    rng = np.random.default_rng(2)
+    fp = np.unique(np.uint64(0xABCDEF) ^ (np.uint64(1) << rng.integers(0, 64, 4000, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 4000, dtype=np.uint64)))
+    label = np.arange(len(fp))
+    u, v = simhash.spanning(simhash.GrayIndex(np.zeros(len(fp), np.int64), fp, label), 4)
+    assert len(u) == len(fp) - 1 and set(v.tolist()) == {0}

@@ -60,7 +60,7 @@ def test_quality_edges(spark):
 def test_quality_votes_equal_brute_force():
     rng = np.random.default_rng(0)
     texts = ["".join(rng.choice(list("abc $"), 50)) for _ in range(60)]
-    voters = quality.Voters.fit(np.stack([quality.terms(t) for t in texts]), rng.integers(0, 2, 60).astype(np.float32))
+    voters = quality.Voters.fit([quality.terms(t).astype(np.float16).tobytes() for t in texts], rng.integers(0, 2, 60).astype(np.float32))
     unit = lambda x: x / np.linalg.norm(x)
     for text, score in zip(texts[:10], voters.score(texts[:10]), strict=True):
         near = np.array([unit(unit(quality.terms(text)) @ voters.directions) @ v for v in voters.vectors])
@@ -106,10 +106,58 @@ def test_bad_media_is_said_not_raised(spark):
     df = spark.createDataFrame([(i, bytearray(b) if b is not None else None) for i, b in enumerate([good, *bad])], "i int, media binary")
     got = {r.i: (r.error, r.tracks) for r in media_columns.probe(df).collect()}
     assert got[0][0] is None and got[0][1][0].codec == "raw " and all(got[i][0] and got[i][1] is None for i in range(1, len(bad) + 1))
+    assert media_columns.probe(df.limit(0)).count() == 0 and media_columns.store(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     with pytest.raises(ValueError, match="already has"):
         media_columns.probe(df.withColumn("Tracks", F.lit(1)))
 
 
+def _table(name, body, other=None):
+    """A file whose sample sizes are in a box of this body."""
+    full, box = media_columns._full, media_columns._box
+    u32 = lambda *v: struct.pack(f">{len(v)}I", *v)
+    tables = other or [full(b"stsc", u32(1, 1, 1, 1)), full(b"stco", u32(1, 0))]
+    return box(b"moov", box(b"trak", box(b"mdia", box(b"minf", box(b"stbl", full(name, body), *tables)))))
+
+
+def _nested(deep):
+    out = b""
+    for _ in range(deep):
+        out = media_columns._box(b"trak", out)
+    return media_columns._box(b"moov", out)
+
+
+def test_malformed_tables_are_said_not_raised(spark):
+    u32 = lambda *v: struct.pack(f">{len(v)}I", *v)
+    full = media_columns._full
+    huge = [full(b"stsc", u32(2, 1, 1, 1, 0xFFFFFFF0, 1, 1)), full(b"stco", u32(1, 0))]
+    many = [full(b"stsc", u32(1, 1, 0xFFFFFFFF, 1)), full(b"stco", u32(1, 0))]
+    bad = [_table(b"stsz", u32(0)), _table(b"stz2", b"\0\0\0\7" + u32(3)), _table(b"stz2", b"\0\0\0\4" + u32(9)), _table(b"stsz", u32(1, 0xFFFFFFF0)), _table(b"stsz", u32(0, 0xFFFFFFF0)), _table(b"stsz", u32(9, 9), huge), _table(b"stco", u32(0xFFFFFFFF))]
+    odd = [_nested(2000), _table(b"stsz", u32(1, 9), many)]  # read, or said, but never raised
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate([*bad, *odd])], "i int, media binary")
+    got = {r.i: r.error for r in media_columns.probe(df, with_payload=True).collect()}
+    assert len(got) == len(bad) + len(odd) and all(got[i] for i in range(len(bad) - 1)), got
+
+
+def test_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    from siftline.llm.common import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 10, None, "b" * 100, "c", "", "d" * 5])], ["i", "t"])
+    assert [p.num_rows for p in slices(batch, 3, 12)] == [2, 1, 3] and [p.num_rows for p in slices(batch, 4, 10**6)] == [4, 2]
+    assert list(slices(batch.slice(0, 0))) == []
+
+
+def test_no_language_is_lost(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog are here " * 30, "en"), (2, "漢", "zh"), (3, "123", "xx")], "doc_id long, text string, lang string")
+    samples = language_id.learn(docs)
+    assert set(samples) == {"en", "zh"}
+    got = language_id.predict(spark.createDataFrame([(1, "漢漢漢")], "doc_id long, text string"), samples).first()
+    assert got.lang_pred in samples
+    empty = docs.limit(0)
+    assert language_id.keep_identified(empty, samples).count() == 0 and language_id.keep_identified(docs, {}).count() == 0
+
+
 def test_urls_equal_brute_force(spark):
     rng = random.Random(5)
     hosts = ["net", "a.net", "b.a.net", "xnet", "example.com", "m.example.com", "", "COM", "a..net", "example.com:80", "é.net"]
@@ -181,7 +229,7 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, sf):
 
     docs = queries.table(spark, sf, "documents")
     model = quality.learn(docs, queries.table(spark, sf, "labels").where(~is_held_out(F.col("doc_id"), 5, 0)))
-    good = quality.keep_good(docs, model).localCheckpoint()
+    good = quality.keep_good(docs, model).checkpoint()
     known = language_id.keep_identified(good, language_id.learn(good.where(~is_held_out(F.col("doc_id"), 4, 2)))).select("doc_id", "text").collect()
     exact = {}
     for r in known:

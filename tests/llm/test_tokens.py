@@ -68,13 +68,35 @@ def test_counts_equal_library(counter, chunk, monkeypatch):
     assert [counter.count(t) for t in given] == [len(x) for x in sp.encode(given)]
 
 
-def test_scan_is_associative(counter):
-    maps = [counter.chunk(x) for x in ("▁the▁re", "present", "ation▁", "▁▁x", "y▁z")]
-    one = maps[0]
-    for m in maps[1:]:
-        one = counter.compose(one, m)
-    last = counter.scan(maps)[-1]
-    assert (one.head, one.count) == (last.head, last.count)
+def test_maps_compose_in_any_order(counter):
+    begin, parts = counter.start.places, ("▁the▁re", "present", "ation▁", "▁▁x", "y▁z")
+    guesses = [begin, begin, counter.run("▁a", counter.start)[0].places]  # true or not
+    for guess in guesses:
+        maps = [counter.chunk(x, begin if not i else guess) for i, x in enumerate(parts)]
+        left = maps[0]
+        for m in maps[1:]:
+            left = left.then(m)
+        right = maps[-1]
+        for m in maps[-2::-1]:
+            right = m.then(right)
+        assert left.at(begin) == right.at(begin) and left.at(begin)[1] == counter.run("".join(parts), counter.start)[1]
+
+
+@pytest.mark.parametrize("sign", ["a", "漢", ".", " ", "ab"])
+def test_counts_of_long_texts_without_a_break(counter, sign):
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    text = sign * 200_000
+    assert counter.count(text) == len(sp.encode(text))
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "." * 200_000, "a \n\n b's" * 90_000, "x" + "\t" * 400_000 + "y z"])
+def test_long_texts(bpe, library, text, monkeypatch):
+    ids = packing.ids_of(P.path("byte_bpe_50k.json"))
+    assert ids.encode(text).tolist() == ids.library.encode(text, add_special_tokens=False).ids
+    got = bpe.encode_long(text)
+    assert bpe.decode(got) == text.encode()
+    monkeypatch.setattr(byte_bpe, "_PART", 1 << 30)
+    assert got == bpe.encode_batch([text])[0]
 
 
 def test_count_frame(spark):
