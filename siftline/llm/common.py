@@ -4,32 +4,27 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from siftline.operators.graph import labels
+from siftline.operators.order import cut, shared_folder
 
 #: The characters that count as white space in every contract: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
+#: Bytes of text that a worker handles at once, but for a single text that has more.
+MOST_BYTES = 8 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests on one machine) is a temporary one set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='siftline-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def scratch(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that nobody else writes."""
     return f"{shared_folder(spark).rstrip('/')}/siftline-{what}-{uuid.uuid4().hex}"
@@ -37,8 +32,15 @@ def scratch(spark: SparkSession, what: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of df: later plans read files that survive the loss of any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return cut(df)
+
+
+def integral(docs: DataFrame) -> DataFrame:
+    """docs, whose doc_id must be a column of whole numbers: other types are an error here rather than in a task."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"doc_id must be a whole number, not {kind.simpleString()}")
+    return docs
 
 
 def is_held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -71,6 +73,12 @@ def sweep(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """node, label for every node of edges (u, v); each round's shuffle files are swept away."""
+    pairs = edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    return labels(pairs, after_round=lambda: sweep(edges.sparkSession))
+
+
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """run, after which the worker gives the memory that it no longer uses back to the machine.
 
@@ -85,13 +93,27 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return inner
 
 
-def map_rows(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512) -> DataFrame:
-    """Arrow batches of at most ``rows`` rows through ``each``: memory is bounded by that many texts."""
+def slices(batch: pa.RecordBatch, rows: int = 512, most_bytes: int = MOST_BYTES) -> Iterator[pa.RecordBatch]:
+    """batch in parts of at most ``rows`` rows and ``most_bytes`` of text; a row that alone has more is a part of its own."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.r_[0, np.cumsum(size)], 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(upto, upto[at] + most_bytes, "right")) - 1
+        end = min(max(end, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def map_rows(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Arrow batches of at most ``rows`` rows and ``most_bytes`` of text through ``each``: memory is bounded by both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                out = each(batch.slice(at, rows))
+            for part in slices(batch, rows, most_bytes):
+                out = each(part)
                 if out is not None:
                     yield out
 
