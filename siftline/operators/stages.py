@@ -37,7 +37,7 @@ def answered(asked: DataFrame, answers: DataFrame, id: str, batch: str | None =
     if batch:
         bad = problems.where("problem is not null").groupBy(batch).agg(F.array_join(F.array_sort(F.collect_set("problem")), ",").alias("reason"))
         review = a.join(bad, batch)
-        good = a.join(bad, batch, "left_anti").join(answers.drop(batch), id)
+        good = a.join(bad, batch, "left_anti").join(answers, [batch, id])
         return good, review.withColumn("reason", F.concat(F.lit("model_contract_invalid:"), F.col("reason")))
     bad = problems.where("problem in ('missing', 'duplicate')").select(id, F.concat(F.lit("model_contract_invalid:"), F.col("problem")).alias("reason"))
     return asked.join(bad, id, "left_anti").join(answers, id), asked.join(bad, id)
