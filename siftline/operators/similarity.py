@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from siftline.functions.text import normalize_text, title_tokens
 from siftline.operators.graph import connected
@@ -79,44 +80,55 @@ def duplicate_tokens(c: Column | str, company_key: Column | str) -> Column:
 _BLOCK_SCHEMA = "company_key string, lead_event_id string, duplicate_of string"
 
 
+@F.pandas_udf(DoubleType())
+def reads_alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    """How alike two texts read: the share of characters in matching blocks; there is no built-in for it."""
+    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+def event_pairs(current: DataFrame, history: DataFrame) -> DataFrame:
+    """now and prior (structs of order and id, and of the latter whether it is history) of events that repeat each other.
+
+    Both: company_key, lead_event_id, event, location, date_posted (date), canonical_url. Two events of a company can
+    repeat each other only with one url, or within three weeks; so they meet by company and url, or by company and
+    three-week period, and a company's events are spread over as many tasks as it has periods.
+    """
+    day = F.unix_date("date_posted")
+    columns = ["company_key", "lead_event_id", "canonical_url", day.alias("day"), normalize_text("event").alias("said"), duplicate_tokens("event", "company_key").alias("tokens"), duplicate_tokens("location", F.lit("")).alias("places")]
+    shaped = lambda df, now: df.select(F.lit(now).alias("current"), *columns).withColumn("at", F.struct("current", F.coalesce("day", F.lit(-(2**31))).alias("day"), F.col("lead_event_id").alias("id")))
+    events = shaped(current, 1).unionByName(shaped(history, 0))
+    now = events.where("current = 1").select("company_key", F.struct("at", "canonical_url", "day", "said", "tokens", "places").alias("a"))
+    prior = events.select("company_key", F.struct("at", "canonical_url", "day", "said", "tokens", "places").alias("b"))
+    earlier = (F.col("b.at") < F.col("a.at")) & (F.col("a.at.id") != F.col("b.at.id"))
+
+    by_url = now.withColumn("url", F.col("a.canonical_url")).where("url <> ''").join(prior.withColumn("url", F.col("b.canonical_url")), ["company_key", "url"]).where(earlier)
+    period = lambda c: F.floor(F.col(f"{c}.day") / MAX_DAYS)
+    near = now.where("a.day is not null").withColumn("period", F.explode(F.array(period("a") - 1, period("a"), period("a") + 1)))
+    near = near.join(prior.where("b.day is not null").withColumn("period", period("b")), ["company_key", "period"])
+    gap = F.abs(F.col("a.day") - F.col("b.day"))
+    same_place = (F.size("a.places") == 0) | (F.size("b.places") == 0) | F.arrays_overlap("a.places", "b.places")
+    near = near.where(earlier & (gap <= MAX_DAYS) & same_place)
+    shared = F.array_intersect("a.tokens", "b.tokens")
+    sure = (F.size(shared) >= 2) | F.exists(shared, lambda t: F.regexp_like(t, F.lit("^[0-9]+$"))) | ((gap <= NEAR_DAYS) & F.array_contains(shared, "develop"))
+    alike = near.where(~sure & (F.col("a.said") != "") & (F.col("b.said") != "")).where(reads_alike("a.said", "b.said") >= RATIO)
+    ends = ["company_key", F.col("a.at").alias("now"), F.col("b.at").alias("prior")]
+    return by_url.select(*ends).unionByName(near.where(sure).select(*ends)).unionByName(alike.select(*ends)).distinct()
+
+
 def cross_run_duplicates(current: DataFrame, history: DataFrame) -> DataFrame:
     """Each current event with the earlier event that it repeats, or null.
 
-    Both: company_key, lead_event_id, event, location, date_posted (date), canonical_url. An event is compared with its
-    company's history and with the current events before it, by date and id, that were not blocked themselves, so a
-    company's events are one sequence. Two repeat each other if their urls are equal, or if they are at most three
-    weeks apart, in places that share a word where both are known, and share two tokens, or a number, or read alike, or
-    both develop within a week.
+    An event counts against its company's history and the current events before it, by date and id, that were not blocked
+    themselves. The pairs are found by joins; only what blocks what is decided in order, over a company's pairs.
     """
-    columns = ["company_key", "lead_event_id", "date_posted", "canonical_url", normalize_text("event").alias("said"), duplicate_tokens("event", "company_key").alias("tokens"), duplicate_tokens("location", F.lit("")).alias("places")]
-    prepared = current.select(*columns, F.lit(1).alias("current")).unionByName(history.select(*columns, F.lit(0).alias("current")))
-
-    def repeats(now, prior) -> bool:
-        if now.canonical_url and now.canonical_url == prior.canonical_url:
-            return True
-        if pd.isna(now.date_posted) or pd.isna(prior.date_posted):
-            return False
-        gap = abs((now.date_posted - prior.date_posted).days)
-        mine, theirs = set(now.tokens), set(prior.tokens)
-        apart = len(now.places) and len(prior.places) and not set(now.places) & set(prior.places)
-        if gap > MAX_DAYS or apart:
-            return False
-        shared = mine & theirs
-        if len(shared) >= 2 or any(t.isdigit() for t in shared):
-            return True
-        if now.said and prior.said and SequenceMatcher(None, now.said, prior.said).ratio() >= RATIO:
-            return True
-        return gap <= NEAR_DAYS and "develop" in mine and "develop" in theirs
-
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["current", "date_posted", "lead_event_id"], na_position="first")
-        kept, out = [], []
-        for row in rows.itertuples():
-            found = next((p.lead_event_id for p in kept if p.lead_event_id != row.lead_event_id and repeats(row, p)), None) if row.current else None
-            if row.current:
-                out.append((row.company_key, row.lead_event_id, found))
-            if found is None:
-                kept.append(row)
-        return pd.DataFrame(out, columns=["company_key", "lead_event_id", "duplicate_of"])
-
-    return prepared.groupBy("company_key").applyInPandas(judge, _BLOCK_SCHEMA)
+
+    def decide(pairs: pd.DataFrame) -> pd.DataFrame:
+        blocked: dict[str, str] = {}
+        place = lambda at: (at["current"], at["day"], at["id"])
+        for now, prior in sorted(((place(n), place(p)) for n, p in zip(pairs["now"], pairs["prior"], strict=True))):
+            if now[2] not in blocked and (prior[0] == 0 or prior[2] not in blocked):
+                blocked[now[2]] = prior[2]
+        return pd.DataFrame([(pairs["company_key"].iloc[0], a, b) for a, b in blocked.items()], columns=["company_key", "lead_event_id", "duplicate_of"])
+
+    found = event_pairs(current, history).groupBy("company_key").applyInPandas(decide, _BLOCK_SCHEMA)
+    return current.select("company_key", "lead_event_id").join(found, ["company_key", "lead_event_id"], "left")

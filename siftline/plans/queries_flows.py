@@ -454,3 +454,31 @@ def recent_similar(spark, sf):
     title = F.when(F.col("o_orderpriority") == "1-URGENT", "warehouse mesa").otherwise("office yuma")
     leads = _orders(spark, sf).select(F.col("o_orderkey").alias("lead_id"), title.alias("title"), F.col("o_orderdate").cast("timestamp").alias("added"))
     return similarity.recent_candidates(leads, F.lit("warehouse tempe"), F.lit("1997-01-01").cast("timestamp"), 30, 0.3).select("lead_id", F.col("score").cast("double").alias("score"))
+
+
+_REPEATS = """WITH e AS (SELECT o_custkey AS c, lpad(o_orderkey::VARCHAR, 9, '0') AS id, o_orderkey % 7 AS u, o_orderstatus = 'F' AS old FROM orders),
+p AS (SELECT c, u, min(id) FILTER (WHERE old) AS h, min(id) FILTER (WHERE NOT old) AS n FROM e GROUP BY 1, 2)
+SELECT e.c::VARCHAR AS company_key, e.id AS lead_event_id, coalesce(h, nullif(n, e.id)) AS duplicate_of FROM e JOIN p USING (c, u) WHERE NOT e.old"""
+
+
+def _shaped(spark, sf, day):
+    o = _orders(spark, sf)
+    return o.select("o_orderstatus", _key("o_custkey").alias("company_key"), F.lpad(_key("o_orderkey"), 9, "0").alias("lead_event_id"), F.lit("sale").alias("event"), F.lit("Mesa").alias("location"), day.alias("date_posted"), F.concat(F.lit("u"), (F.col("o_orderkey") % 7).cast("string")).alias("canonical_url"))
+
+
+@query(_REPEATS)
+def repeated_events(spark, sf):
+    """Events whose url the company's history, or an event before it, has."""
+    rows = _shaped(spark, sf, F.lit(None).cast("date"))
+    out = similarity.cross_run_duplicates(rows.where("o_orderstatus <> 'F'"), rows.where("o_orderstatus = 'F'"))
+    return out.select("company_key", "lead_event_id", "duplicate_of")
+
+
+@query("""WITH RECURSIVE e AS (SELECT o_custkey AS c, o_orderkey AS id, o_orderdate::DATE AS d, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE, lpad(o_orderkey::VARCHAR, 9, '0')) AS n FROM orders),
+w AS (SELECT c, id, d, n, id AS kept, d AS kept_on FROM e WHERE n = 1
+UNION ALL SELECT e.c, e.id, e.d, e.n, CASE WHEN e.d - w.kept_on <= 21 THEN w.kept ELSE e.id END, CASE WHEN e.d - w.kept_on <= 21 THEN w.kept_on ELSE e.d END FROM w JOIN e ON e.c = w.c AND e.n = w.n + 1)
+SELECT c::VARCHAR AS company_key, lpad(id::VARCHAR, 9, '0') AS lead_event_id, CASE WHEN kept <> id THEN lpad(kept::VARCHAR, 9, '0') END AS duplicate_of FROM w""")
+def repeated_within_weeks(spark, sf):
+    """Events that say the same number within three weeks of one that holds; a blocked one blocks nothing."""
+    rows = _shaped(spark, sf, F.col("o_orderdate").cast("date")).withColumn("canonical_url", F.lit("")).withColumn("event", F.lit("250 homes"))
+    return similarity.cross_run_duplicates(rows, rows.limit(0)).select("company_key", "lead_event_id", "duplicate_of")
