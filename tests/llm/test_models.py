@@ -245,3 +245,36 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, sf):
                 root = [a if x == b else x for x in root]
     want = {left[r][0] for r in root if left[r][1].split()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()} == want
+
+
+def _tables(spark, folder, rows, labels):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _h string, h long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_pipeline_with_nulls_copies_and_clashing_names(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    words = {"en": "the cat and dog are here with some more words of plain text".split(), "fr": "le chat et le chien sont ici avec encore des mots simples".split()}
+    prose = lambda lang, n: " ".join(rng.choice(words[lang]) + str(rng.randrange(40)) for _ in range(n))
+    texts = [(i, prose("en" if i % 2 else "fr", 60)) for i in range(60)]
+    hot, near = texts[1][1], texts[3][1].split()
+    texts += [(100 + i, hot + " " * (i % 3)) for i in range(40)]  # a third of all rows
+    texts += [(200 + i, " ".join([*near[:-1], f"w{i}"])) for i in range(20)]
+    rows = [(i, t, "en" if i % 2 or i >= 60 else "fr", "s", len(t), "x", 1) for i, t in texts] + [(None, None, None, None, None, None, None), (900, "", "en", "s", 0, "x", 1), (901, "12 34", None, "s", 5, "x", 1), (1, hot, "en", "s", 9, "y", 2)]
+    labels = [(i, 1, 0) for i in range(60)] + [(900, 0, 0), (None, 1, 0)]
+    sf = _tables(spark, f"{tmp_path}/a", rows, labels)
+    docs, names = spark.read.parquet(f"{sf}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf).checkpoint()
+        names[name] = docs.columns
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_h", "h"]
+    kept = {r.doc_id for r in docs.collect()}
+    assert {i for i in kept if i is not None and i < 60} >= set(range(60)) - {1} and not kept & {900, 901, None}
+    assert len(kept & {1, *range(100, 140)}) == 1 and not kept & set(range(200, 220))
+    packed = {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()}
+    assert packed == kept
+    empty = _tables(spark, f"{tmp_path}/b", [], [])
+    assert corpus_pipeline.run(spark, empty).count() == 0
