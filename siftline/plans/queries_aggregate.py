@@ -95,7 +95,7 @@ def promotion_criteria(spark, sf):
 
 @query("SELECT 3::BIGINT AS days, count(*) FILTER (WHERE n_nationkey <> 1)::BIGINT AS green_days, 'promote_v2' AS decision FROM nation WHERE n_nationkey < 3")
 def promotion_gate(spark, sf):
-    """Three days' cards."""
+    """The gate looks at three days' cards, so the table is cut to three rows that stand for them."""
     cards = table(spark, sf, "nation").where("n_nationkey < 3").select(F.col("n_nationkey").alias("day"), (F.col("n_nationkey") != 1).alias("green"), F.lit(False).alias("invalid"))
     return aggregates.promotion_gate(cards).select("days", "green_days", "decision")
 

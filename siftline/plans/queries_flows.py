@@ -482,3 +482,11 @@ def repeated_within_weeks(spark, sf):
     """Events that say the same number within three weeks of one that holds; a blocked one blocks nothing."""
     rows = _shaped(spark, sf, F.col("o_orderdate").cast("date")).withColumn("canonical_url", F.lit("")).withColumn("event", F.lit("250 homes"))
     return similarity.cross_run_duplicates(rows, rows.limit(0)).select("company_key", "lead_event_id", "duplicate_of")
+
+
+@query("SELECT o_orderkey AS lead_id FROM orders JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY 1) USING (o_custkey) WHERE o_orderkey <> k AND o_custkey % 3 <> 0")
+def safe_deletes(spark, sf):
+    """Losers whose keeper's merge succeeded."""
+    o = _orders(spark, sf)
+    plan = o.join(o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("keeper_id")), "o_custkey").select(F.col("o_orderkey").alias("lead_id"), "keeper_id", "o_custkey", (F.col("o_orderkey") == F.col("keeper_id")).alias("is_keeper"))
+    return stages.safe_deletes(plan, plan.where("is_keeper and o_custkey % 3 <> 0").select("keeper_id")).select("lead_id")

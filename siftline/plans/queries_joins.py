@@ -62,9 +62,9 @@ def promotion_inputs(spark, sf):
     return aggregates.promotion_inputs(o.select("day", "id"), o.where("o_orderstatus = 'O'").select("day", "id"), o.where("id % 5 = 0").select("day", "id"), people)
 
 
-@query(f"""WITH {CONTACTS} SELECT s_suppkey AS person_id, s_suppkey % 2 = 1 AS billable FROM supplier WHERE s_suppkey NOT IN (SELECT person_id FROM contacts WHERE email <> '' AND evidence_count = 50 AND lead_event_id % 2 = 0)""")
+@query("SELECT c_custkey AS person_id, c_custkey % 2 = 1 AS billable FROM customer WHERE c_custkey NOT IN (SELECT l_orderkey % 40009 FROM lineitem WHERE l_linestatus = 'F')")
 def contact_fallback(spark, sf):
     """People that no contact reaches."""
-    people = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("person_id"))
-    some = contacts(spark, sf).where("evidence_count = 50 and lead_event_id % 2 = 0").select("person_id", "email", "phone")
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("person_id"))
+    some = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 40009).alias("person_id"), F.when(F.col("l_linestatus") == "F", "a@x").otherwise("").alias("email"), F.lit("").alias("phone"))
     return stages.contact_fallback(people, some, people.where("person_id % 2 = 0"))

@@ -33,11 +33,11 @@ def business_grounding(spark, sf):
     return table(spark, sf, "documents").select("doc_id", scope.grounded(F.lit("The Idiot Clown Group LLC"), "text").alias("grounded"))
 
 
-@query(f"""WITH {LEAD_EVENTS}, {CONTACTS} SELECT e.company_id, count(*) AS n, count(DISTINCT o.lead_event_id) AS n_events FROM contacts c JOIN lead_events e USING (lead_event_id) JOIN lead_events o ON o.company_id = e.company_id WHERE c.evidence_count > 48 GROUP BY 1""")
+@query(f"""WITH {LEAD_EVENTS}, {CONTACTS} SELECT e.company_id, count(*) AS n, count(DISTINCT o.lead_event_id) AS n_events FROM contacts c JOIN lead_events e USING (lead_event_id) JOIN lead_events o ON o.company_id = e.company_id GROUP BY 1""")
 def project_contacts(spark, sf):
     """A company's contacts for all of its events."""
     e = lead_events(spark, sf)
-    people = contacts(spark, sf).where("evidence_count > 48").join(e.select("company_id", "lead_event_id"), "lead_event_id").drop("lead_event_id").withColumnRenamed("company_id", "organization_id")
+    people = contacts(spark, sf).join(e.select("company_id", "lead_event_id"), "lead_event_id").drop("lead_event_id").withColumnRenamed("company_id", "organization_id")
     out = stages.project_contacts(people, e.withColumnRenamed("company_id", "organization_id"))
     return out.groupBy(F.col("organization_id").alias("company_id")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lead_event_id").alias("n_events"))
 
