@@ -1,7 +1,8 @@
 """SimHash near-dedup with a Gray-order hierarchical index.
 
 The bits of a fingerprint make radius + 2 blocks; fingerprints that differ in at most ``radius`` bits agree in two of
-them. Each distinct fingerprint is dealt to a bucket for every two blocks, so all links lie inside buckets. In a bucket, fingerprints are sorted by Gray rank, so neighbours share most
+them. Each distinct fingerprint is dealt to a bucket for every two blocks, so all links lie inside buckets; a large
+bucket's other bits make blocks in turn. In a bucket, fingerprints are sorted by Gray rank, so neighbours share most
 bits; eight neighbours form a node that holds the bits all of them share, and eight nodes one above it, whose shared
 bits are taken out of the nodes below. A query adds up its differences on the way down and drops a whole node as soon
 as the sum is over the radius.
@@ -23,10 +24,13 @@ from siftline.llm.common import components, cut_lineage, frugal, integral, map_r
 SEED = 42
 RADIUS = 3
 WIDTH = 3
-#: Distinct fingerprints of one bucket that one task compares; a larger bucket is dealt out as pairs of chunks.
+#: Distinct fingerprints of one bucket that one task compares; a larger bucket is dealt anew by more bits.
 CHUNK = 2048
+#: A bucket whose fingerprints agree in all but this many bits is not dealt anew: it can't hold more than 2 ** SMALL_BITS.
+SMALL_BITS = 11
 FAN = 8
-AGREE = 2
+#: Blocks in which a bucket's fingerprints agree, and those when a bucket is dealt anew.
+AGREE, AGREE_AGAIN = 2, 3
 _BLOCK = 1 << 19  # candidate pairs that the search holds at once
 
 
@@ -173,52 +177,75 @@ def spanning(index: GrayIndex, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return index.given[moved], index.given[root[moved]]
 
 
-def bucket_masks(radius: int, agree: int = AGREE) -> list[int]:
+def bucket_masks(radius: int, agree: int = AGREE, within: int = 0) -> list[int]:
     """Masks of the bits that a bucket's fingerprints agree in: every pair within radius agrees in one of them.
 
-    The 64 bits make radius + agree blocks, of which at most radius can differ.
+    The bits outside ``within``, in which all agree already, make radius + agree blocks, of which at most radius can
+    differ.
     """
-    edges = [64 * i // (radius + agree) for i in range(radius + agree + 1)]
-    blocks = [sum(1 << bit for bit in range(a, b)) for a, b in zip(edges, edges[1:], strict=False)]
-    return [sum(some) for some in combinations(blocks, agree)]
+    open_bits = [bit for bit in range(64) if not within >> bit & 1]
+    edges = [len(open_bits) * i // (radius + agree) for i in range(radius + agree + 1)]
+    blocks = [sum(1 << bit for bit in open_bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    return [within | sum(some) for some in combinations(blocks, agree)]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, masks: list[int] | None = None) -> DataFrame:
-    """u, v: links between labels that join all labels with points within radius. points: distinct fp and label.
+def _deal(points: DataFrame, finer: dict[int, list[int]]) -> DataFrame:
+    """Points under each finer mask of their ``mask``, with the bits that it takes. The masks depend on no data."""
+    table = [(_signed(mask), _signed(m)) for mask, some in finer.items() for m in some]
+    masks = points.sparkSession.createDataFrame(table, "mask long, finer long")
+    dealt = points.join(F.broadcast(masks), "mask").select("fp", "label", F.col("finer").alias("mask"))
+    return dealt.withColumn("shared", F.col("fp").bitwiseAND(F.col("mask")))
 
-    A bucket of one label needs no search. One of more than ``chunk`` points is split into chunks by hash, and every two
-    chunks meet in a task of their own, so the largest task holds about twice ``chunk`` whatever the bucket, and no pair
-    is lost. Points are counted by bucket before the shuffle; only the counts of large buckets are joined back.
+
+def dealt_buckets(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """fp, label, mask, shared: buckets (mask, shared) that hold every pair within radius and are bounded in size.
+
+    points: distinct fp, each with its label. A bucket of more than ``chunk`` points is dealt anew by further bits that
+    pairs within radius must agree in, until it holds at most ``chunk``, or so few bits are open that distinct fingerprints
+    can't be more than 2 ** SMALL_BITS. A point comes in a fixed number of buckets at most, so the work grows with the
+    points however many share a bucket. A large bucket of one label is left out. Buckets are counted before the shuffle.
     """
-    all_masks = F.array(*[F.lit(_signed(m)) for m in masks or bucket_masks(radius)])
-    dealt = points.select("fp", "label", F.posexplode(all_masks).alias("mask_no", "mask")).select("fp", "label", "mask_no", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
-    large = dealt.groupBy("mask_no", "shared").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low_label"), F.max("label").alias("high_label")).where(F.col("n") > chunk)
-    met = dealt.join(large, ["mask_no", "shared"], "left").where("n is null or low_label <> high_label")
-    met = met.withColumn("parts", F.ceil(F.col("n") / chunk).cast("int")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    met = met.withColumn("other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
-    met = met.select("mask_no", "shared", F.coalesce(F.least("own", "other"), F.lit(0)).alias("low"), F.coalesce(F.greatest("own", "other"), F.lit(0)).alias("high"), "fp", "label")
-    keys = ["mask_no", "shared", "low", "high"]
+    dealt, ready = _deal(points.select("fp", "label", F.lit(0).cast("long").alias("mask")), {0: bucket_masks(radius)}), []
+    while True:
+        counts = dealt.where(F.bit_count("mask") < 64 - SMALL_BITS).groupBy("mask", "shared")
+        counts = counts.agg(F.count(F.lit(1)).alias("n"), (F.min("label") < F.max("label")).alias("several"))
+        large = cut_lineage(counts.where(F.col("n") > chunk).select("mask", "shared", "several"))
+        masks = {r.mask: r.several for r in large.groupBy("mask").agg(F.max("several").alias("several")).collect()}  # as many as masks
+        if not masks:
+            break
+        ready.append(dealt.join(large, ["mask", "shared"], "left_anti"))
+        again = cut_lineage(dealt.join(large.where("several"), ["mask", "shared"], "left_semi").select("fp", "label", "mask"))
+        dealt = _deal(again, {m & ~(-1 << 64): bucket_masks(radius, AGREE_AGAIN, m & ~(-1 << 64)) for m in masks})
+    for some in ready:
+        dealt = dealt.unionByName(some)
+    return dealt
+
+
+def links(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """u, v: links between labels that join all labels with points within radius. points: distinct fp, each with its label."""
+    keys = ["mask", "shared"]
+    met = dealt_buckets(points, radius, chunk).select(*keys, "fp", "label")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: np.ndarray) -> pa.RecordBatch:
-            starts = np.flatnonzero(np.r_[True, (rows[1:, :4] != rows[:-1, :4]).any(axis=1)])
+            starts = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
             sizes = np.diff(np.r_[starts, len(rows)])
-            several = np.minimum.reduceat(rows[:, 5], starts) != np.maximum.reduceat(rows[:, 5], starts)
+            several = np.minimum.reduceat(rows[:, 3], starts) != np.maximum.reduceat(rows[:, 3], starts)
             keep = np.repeat(several, sizes)
             if not several.any():
                 return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["u", "v"])
             bucket = np.repeat(np.arange(len(starts)), sizes)[keep]
-            u, v = spanning(GrayIndex(bucket, rows[keep, 4].view(np.uint64), rows[keep, 5]), radius)
+            u, v = spanning(GrayIndex(bucket, rows[keep, 2].view(np.uint64), rows[keep, 3]), radius)
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-        held = np.zeros((0, 6), np.int64)
+        held = np.zeros((0, 4), np.int64)
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
-            whole = len(held) - int((held[::-1, :4] == held[-1, :4]).all(axis=1).argmin() or len(held)) if len(held) else 0
+            whole = len(held) - int((held[::-1, :2] == held[-1, :2]).all(axis=1).argmin() or len(held)) if len(held) else 0
             if whole:  # the last bucket may go on in the next batch
                 yield found(np.ascontiguousarray(held[:whole]))
                 held = held[whole:]
@@ -237,7 +264,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk
     table gives no rows. Other columns of docs are not read. doc_id must be a whole number.
     """
     rows = cut_lineage(fingerprints(integral(docs), width))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     labels = components(links(distinct.select("fp", F.col("fp").alias("label")), radius, chunk))
     linked = distinct.join(labels, distinct["fp"] == labels["node"]).select("fp", "label", "first")
     smallest = cut_lineage(linked.groupBy("label").agg(F.min("first").alias("smallest")))

@@ -124,6 +124,40 @@ def test_every_close_pair_shares_a_bucket(radius):
         assert any(x & m == (x ^ flipped) & m for m in masks)
 
 
+@pytest.mark.parametrize("radius", [1, 3])
+def test_every_close_pair_shares_a_finer_bucket(radius):
+    rng = random.Random(radius)
+    for within in simhash.bucket_masks(radius)[::3]:
+        for _ in range(50):
+            x, open_bits = rng.getrandbits(64), [b for b in range(64) if not within >> b & 1]
+            flipped = sum(1 << b for b in rng.sample(open_bits, radius))
+            masks = simhash.bucket_masks(radius, simhash.AGREE_AGAIN, within)
+            assert all(m & within == within and m != within for m in masks)
+            assert any(x & m == (x ^ flipped) & m for m in masks)
+
+
+def test_a_hot_bucket_is_dealt_in_bounded_buckets_and_loses_no_link(spark):
+    rng = np.random.default_rng(1)
+    base = int(rng.integers(0, 2**63)) & ~((1 << 40) - 1)  # all agree in 24 bits, many within 3 bits of each other
+    seeds = rng.integers(0, 1 << 40, 40).tolist()
+    fps = {base | s ^ sum(1 << int(b) for b in rng.choice(40, int(rng.integers(0, 5)), replace=False)) for s in seeds for _ in range(40)}
+    fps |= {base | int(x) for x in rng.integers(0, 1 << 40, 400)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in sorted(fps)]
+    points = spark.createDataFrame([(x, x) for x in signed], "fp long, label long")
+    dealt = simhash.dealt_buckets(points, 3, 64)
+    assert dealt.where(F.bit_count("mask") < 64 - simhash.SMALL_BITS).groupBy("mask", "shared").count().where("count > 64").isEmpty()
+    assert dealt.groupBy("fp", "mask").count().where("count > 1").isEmpty()
+    root = _groups(sorted(fps), lambda a, b: (a ^ b).bit_count() <= 3)
+    got = {r.node: r.label for r in common.components(simhash.links(points, 3, 64)).collect()}
+    mine = [got.get(x, x) for x in signed]
+    assert len({(a, b) for a, b in zip(mine, root, strict=True)}) == len(set(mine)) == len(set(root)) < len(fps)
+
+
+def test_a_large_bucket_of_one_label_is_left_out(spark):
+    points = spark.createDataFrame([(x, 7) for x in range(200)] + [(1 << 60, 9)], "fp long, label long")
+    assert simhash.links(points, 3, 16).where("u <> v").count() == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(1000, i) for i in range(900, 950)] + [(7, 7)]
     got = {r.node: r.label for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
