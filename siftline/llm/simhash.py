@@ -197,8 +197,7 @@ def _deal(points: DataFrame, finer: dict[int, list[int]]) -> DataFrame:
     """Points under each finer mask of their ``mask``, with the bits that it takes. The masks depend on no data."""
     table = [(_signed(mask), _signed(m)) for mask, some in finer.items() for m in some]
     masks = points.sparkSession.createDataFrame(table, "mask long, finer long")
-    dealt = points.join(F.broadcast(masks), "mask").select("fp", "label", F.col("finer").alias("mask"))
-    return dealt.withColumn("shared", F.col("fp").bitwiseAND(F.col("mask")))
+    return points.join(F.broadcast(masks), "mask").select("fp", "label", F.col("finer").alias("mask"))
 
 
 def dealt_buckets(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
@@ -209,7 +208,9 @@ def dealt_buckets(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -
     can't be more than 2 ** SMALL_BITS. A point comes in a fixed number of buckets at most, so the work grows with the
     points however many share a bucket. A large bucket of one label is left out. Buckets are counted before the shuffle.
     """
-    dealt, ready = _deal(points.select("fp", "label", F.lit(0).cast("long").alias("mask")), {0: bucket_masks(radius)}), []
+    shared = F.col("fp").bitwiseAND(F.col("mask"))
+    dealt = points.select("fp", "label", F.explode(F.array(*[F.lit(_signed(m)) for m in bucket_masks(radius)])).alias("mask")).withColumn("shared", shared)
+    ready = []
     while True:
         counts = dealt.where(F.bit_count("mask") < 64 - SMALL_BITS).groupBy("mask", "shared")
         counts = counts.agg(F.count(F.lit(1)).alias("n"), (F.min("label") < F.max("label")).alias("several"))
@@ -219,7 +220,7 @@ def dealt_buckets(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -
             break
         ready.append(dealt.join(large, ["mask", "shared"], "left_anti"))
         again = cut_lineage(dealt.join(large.where("several"), ["mask", "shared"], "left_semi").select("fp", "label", "mask"))
-        dealt = _deal(again, {m & ~(-1 << 64): bucket_masks(radius, AGREE_AGAIN, m & ~(-1 << 64)) for m in masks})
+        dealt = _deal(again, {m & ~(-1 << 64): bucket_masks(radius, AGREE_AGAIN, m & ~(-1 << 64)) for m in masks}).withColumn("shared", shared)
     for some in ready:
         dealt = dealt.unionByName(some)
     return dealt
