@@ -255,6 +255,22 @@ def test_candidate_links_in_large_buckets(spark, chunk):
     assert similar and all(joined[i] == joined[j] for i, j in similar)
 
 
+def test_meetings_lose_no_pair_and_leave_out_what_is_joined(spark):
+    rows = [(1, i, 1, i) for i in range(90)] + [(2, i, 1, i % 7) for i in range(50)] + [(3, i, 1, i) for i in range(4)]
+    base = spark.createDataFrame(rows, "k long, tag long, weight long, x long")
+    near = lambda own, first: [abs(a - b) <= 40 for a, b in zip(own[0].to_pylist(), first[0].to_pylist(), strict=True)]
+    met, joined = near_copies.meetings(base, "k", 8, ["x"], lambda some: some, near)
+    cells = {}
+    for r in met.collect():
+        cells.setdefault((r.k, r.low, r.high), []).append(r.tag)
+    assert all(len(tags) == len(set(tags)) <= 40 for tags in cells.values())
+    together = {(k, a, b) for (k, _, _), tags in cells.items() for a in tags for b in tags}
+    assert all((1, a, b) in together for a in range(90) for b in range(41, 90))
+    assert not any(k == 2 for k, _, _ in cells) and sorted(cells[3, 0, 0]) == [0, 1, 2, 3]
+    assert {(r.u, r.v) for r in joined.collect()} == {(0, i) for i in range(1, 50)}
+    assert near_copies.meetings(base.where("k = 3"), "k", 8, ["x"], lambda some: some, near)[1] is None
+
+
 def test_near_copies_keep_different_texts(spark):
     rng = random.Random(3)
     shared = " ".join(f"s{i}" for i in range(60))
