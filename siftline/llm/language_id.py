@@ -21,8 +21,8 @@ from pyspark.sql import Window
 from siftline.llm.common import frugal, map_rows, slices
 
 UNDETERMINED = "und"
-#: Bounds of what is learned from: rows of each language, each whole, and languages.
-SAMPLE_ROWS, MOST_LANGUAGES = 32, 256
+#: Bounds of what is learned from: rows of each language, each whole, the bytes of all languages' rows, and languages.
+SAMPLE_ROWS, SAMPLE_BYTES, MOST_LANGUAGES = 32, 32 << 20, 256
 #: A dictionary's content must have so many bytes; a language with less text has it repeated.
 LEAST_BYTES = 8
 BLOCK, LEVEL = 4096, 6
@@ -64,11 +64,13 @@ class Dictionaries:
         return self.languages[best], share, 1.0 if second is None else (second - sizes[best]) / second
 
 
-def learn(docs: DataFrame) -> dict[str, bytes]:
+def learn(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
     """A dictionary's content for each non-null lang of docs, the language with most rows first.
 
-    At most SAMPLE_ROWS rows of each are taken, whole, chosen by a hash of doc_id: the same ones whatever the order. A
-    language whose rows have no letter can't be told and is left out. More than MOST_LANGUAGES: an error.
+    At most SAMPLE_ROWS rows of each are taken, whole, chosen by a hash of doc_id: the same ones whatever the order. The
+    languages have equal shares of ``sample_bytes``, so what every task gets is bounded; rows of more than a row's share come
+    last, the shortest first, and a language that has nothing else is learned from one of them, whole. A language whose
+    rows have no letter can't be told and is left out. More than MOST_LANGUAGES: an error.
     """
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
@@ -80,9 +82,12 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     share = F.create_map(*[x for r in counted for x in (F.lit(r["lang"]), F.lit(min(1.0, 2 * SAMPLE_ROWS / r["count"] + 50 / r["count"])))])
     order = F.xxhash64("doc_id", F.length("text"))
     some = known.withColumn("order", order).where((F.col("order").cast("double") / 2.0**64 + 0.5) <= share[F.col("lang")])
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     once = some.groupBy("lang", "order", "doc_id").agg(F.min("text").alias("text"))  # a row that repeats very often is one
-    rows = once.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").select("lang", "text").collect()
+    size, most = F.octet_length("text").cast("long"), sample_bytes // len(counted)
+    in_order = Window.partitionBy("lang").orderBy(F.when(size > most // SAMPLE_ROWS, size).otherwise(0), "order", "doc_id")
+    ranked = once.withColumns({"rank": F.row_number().over(in_order), "upto": F.sum(size).over(in_order.rowsBetween(Window.unboundedPreceding, 0))})
+    taken = (F.col("rank") == 1) | ((F.col("rank") <= SAMPLE_ROWS) & (F.col("upto") <= most))
+    rows = ranked.where(taken).orderBy("lang", "rank").select("lang", "text").collect()
     out = {r["lang"]: b"" for r in counted}
     for lang, text in rows:
         out[lang] += letters(text).encode() + b" "

@@ -38,6 +38,16 @@ def test_language_edges(spark):
     assert language_id.learn(docs.limit(0)) == {}
 
 
+def test_language_sample_is_bounded_by_bytes(spark):
+    rows = [(i, f"word{chr(97 + i)} " * (400 if i % 2 else 10), "en") for i in range(20)] + [(50, "mots " * 3000, "fr"), (51, "longs " * 4000, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {lang: set(sample.split()) for lang, sample in language_id.learn(docs, 2 * 32 * 100).items()}
+    # Short rows first, then long ones as far as the bytes go; a language of too long rows is learned from its shortest.
+    assert {f"word{chr(97 + i)}".encode() for i in range(0, 20, 2)} < got["en"] and len(got["en"]) == 11
+    assert got["fr"] == {b"mots"}
+    assert {lang: len(set(sample.split())) for lang, sample in language_id.learn(docs).items()} == {"en": 20, "fr": 2}
+
+
 def test_quality_is_right_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = queries.table(spark, sf, "labels")
