@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.deals import backoff_seconds
+from siftline.operators.aggregates import watermark
 
 MOST_CLAIMED, LEAST_LEASE, LEAST_DELAY = 100, 30, 30
 
@@ -60,6 +64,19 @@ def digest_window(rows: DataFrame, at: str, last_success: Column, now: Column) -
     return rows.where((F.col(at) > last_success.cast("timestamp")) & (F.col(at) <= now.cast("timestamp")))
 
 
+def digest_run(rows: DataFrame, at: str, runs: DataFrame, run_at: datetime, send: Callable[[DataFrame], bool]) -> tuple[datetime, bool]:
+    """One run over its window; the time that the next window starts from, and whether the run succeeded.
+
+    runs: ran_at of the runs that succeeded; none: all rows up to ``run_at``, which the caller takes before anything is read,
+    so a row that arrives while the run lasts falls into the next window. A window without rows is a success and nothing is
+    sent; where ``send`` returns False the window stays open, and the next run has it again.
+    """
+    before = watermark(runs).first()[0] or datetime(1, 1, 1)
+    found = digest_window(rows, at, F.lit(before), F.lit(run_at))
+    sent = found.isEmpty() or bool(send(found))
+    return (run_at if sent else before), sent
+
+
 def in_replay_window(sent_ms: Column, now_ms: Column, tolerance_ms: int = 300_000) -> Column:
     """T12"""
     return F.abs(now_ms - sent_ms) <= tolerance_ms

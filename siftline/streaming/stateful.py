@@ -1,14 +1,24 @@
-"""Streaming twins of the state machines: the same decisions with the state of a key kept by Spark."""
+"""Streaming twins of the state machines: the same decisions with the state of a key kept by Spark.
+
+Where the order of a key's rows decides step by step, the state is a row that Python folds. Where aggregates say it all
+(suppressions, sequences, provider operations), the batch fold itself runs over the stream: copies merge before the
+shuffle, and repeated rows change nothing. ``latest`` writes what a stream of states says last, by an output folder.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from siftline.operators.fold import LAST, fold
 from siftline.streaming.feed_health import NEVER
+from siftline.streaming.sequences import fold_states
+from siftline.streaming.suppression import fold_suppressions
 
 _ITEM = "key string, status string, attempts int, seq long"
 _FEED = "feed_id string, failures int, ok_day int, seq long, status string"
@@ -60,3 +70,45 @@ def feed_states(checks: DataFrame, today: int) -> DataFrame:
         yield pd.DataFrame({"feed_id": [key[0]], "failures": [failures], "ok_day": [ok_day], "seq": [last], "status": [status]})
 
     return checks.groupBy("feed_id").applyInPandasWithState(step, _FEED, "failures int, ok_day int, last long", "update", GroupStateTimeout.NoTimeout)
+
+
+def suppressions(log: DataFrame) -> DataFrame:
+    """T08 over a stream: email, suppressed_at, reason, external_event_id of mailboxes with new rows. log as in the batch fold.
+
+    A mailbox stays suppressed for good, so its state is kept without a watermark: one row for each suppressed mailbox.
+    """
+    return fold_suppressions(log)
+
+
+def sequence_states(log: DataFrame, sequences: DataFrame) -> DataFrame:
+    """T09, T10 over a stream: sequence_id and state of sequences with new events.
+
+    log: email, event_type (a stream); sequences: sequence_id, email (a table). An event goes to all sequences of its
+    mailbox; one of an unknown or null mailbox to none.
+    """
+    return fold_states(log.join(sequences.select("sequence_id", "email"), "email"))
+
+
+def operations(log: DataFrame) -> DataFrame:
+    """T05 over a stream: operation_key, status, lease_until and seq of operations with new rows; the highest seq decides.
+
+    Whether a started one is uncertain by now depends on the time of reading: ``queue.operations`` over what ``latest``
+    gives says it, also for those that no further row comes for.
+    """
+    return fold(log.withColumn("last", F.col("seq")), ["operation_key"], "seq", {"status": LAST, "lease_until": LAST, "last": LAST}).withColumnRenamed("last", "seq")
+
+
+def write_states(states: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """What is there now, batch by batch, to ``folder``: a batch that is repeated after a failure replaces its own rows."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+    return states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """The last state of each key that ``write_states`` has written."""
+    rows = spark.read.parquet(folder)
+    columns = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("_s")).select(*keys, "_s.*")

@@ -1,11 +1,12 @@
 """State machines as streams: several batches leave the state that the batch fold gives."""
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.streaming import feed_health, queue, stateful
+from siftline.streaming import feed_health, queue, sequences, stateful, suppression
 
 
 def run(spark, rows, schema, make, folder, parts=3):
@@ -48,3 +49,62 @@ def test_feed_stream_equals_fold(spark, tmp_path):
     days = spark.createDataFrame(rows, schema).withColumn("day", F.date_from_unix_date("day"))
     want = feed_health.feed_states(days, F.date_from_unix_date(F.lit(19015))).collect()
     assert {k: (v.failures, v.status) for k, v in got.items()} == {r.feed_id: (r.failures, r.status) for r in want}
+
+
+def last_states(spark, rows, schema, make, keys, folder, parts=3):
+    """The last states after the rows came in ``parts`` batches, each row of a batch's end again in the next one."""
+    for i in range(parts):
+        some = rows[max(0, len(rows) * i // parts - 2) : len(rows) * (i + 1) // parts]
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        query = stateful.write_states(make(spark.readStream.schema(schema).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/ck")
+        assert query.awaitTermination(120)
+    return stateful.latest(spark, f"{folder}/out", keys)
+
+
+def as_rows(df):
+    return sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+
+
+def test_suppression_stream_equals_fold(spark, tmp_path):
+    rng, start = random.Random(3), datetime(2024, 1, 1)
+    rows = [(rng.choice("abcd") + "@x.com", n, start + timedelta(hours=rng.randrange(900)), rng.choice(["bounce", "unsubscribe", None]), rng.choice(["", None, f"e{n}"])) for n in range(40)] + [(None, 40, start, "bounce", "e40")]
+    schema = "email string, seq long, at timestamp, reason string, external_event_id string"
+    got = last_states(spark, rows, schema, stateful.suppressions, ["email"], tmp_path)
+    assert as_rows(got) == as_rows(suppression.fold_suppressions(spark.createDataFrame(rows, schema)))
+
+
+def test_sequence_stream_equals_fold(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", "c", "nobody", None]), n, rng.choice(["approved", "enrolled", "opened", "bounce", "reply"] if n > 20 else ["approved", "opened"])) for n in range(40)]
+    schema = "email string, seq long, event_type string"
+    table = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, "quiet"), (6, None)], "sequence_id long, email string")
+    got = last_states(spark, rows, schema, lambda s: stateful.sequence_states(s, table), ["sequence_id"], tmp_path)
+    want = sequences.fold_states(spark.createDataFrame(rows, schema).join(table, "email"))
+    assert as_rows(got) == as_rows(want) and {r.sequence_id for r in got.collect()} == {1, 2, 3, 4}
+
+
+def test_operation_stream_says_what_is_uncertain(spark, tmp_path):
+    now = datetime(2024, 2, 1)
+    late, early = now + timedelta(days=1), now - timedelta(days=1)
+    rows = [("a", 1, "started", early), ("b", 2, "started", late), ("c", 3, "started", early), ("d", 4, "started", early), ("c", 5, "completed", None), ("d", 6, "failed", early), ("d", 7, "started", late)]
+    schema = "operation_key string, seq long, status string, lease_until timestamp"
+    got = queue.operations(last_states(spark, rows, schema, stateful.operations, ["operation_key"], tmp_path), F.lit(now))
+    assert as_rows(got) == as_rows(queue.operations(spark.createDataFrame(rows, schema), F.lit(now)))
+    assert {r.operation_key: r.status for r in got.collect()} == {"a": "uncertain", "b": "started", "c": "completed", "d": "started"}
+
+
+def test_digest_window_stays_open_until_sent(spark):
+    day = lambda n: datetime(2024, 1, n)
+    rows = spark.createDataFrame([(i, day(i)) for i in range(1, 11)] + [(11, None)], "id long, at timestamp")
+    runs = lambda *ends: spark.createDataFrame([(e,) for e in ends], "ran_at timestamp")
+    seen = []
+
+    def send(found):
+        seen.append(sorted(r.id for r in found.collect()))
+        return len(seen) != 2
+
+    assert queue.digest_run(rows, "at", runs(), day(3), send) == (day(3), True)
+    assert queue.digest_run(rows, "at", runs(day(3)), day(6), send) == (day(3), False)
+    assert queue.digest_run(rows, "at", runs(day(3)), day(8), send) == (day(8), True)
+    assert queue.digest_run(rows, "at", runs(day(3), day(20)), day(25), send) == (day(25), True)  # nothing came: a success
+    assert seen == [[1, 2, 3], [4, 5, 6], [4, 5, 6, 7, 8]]
