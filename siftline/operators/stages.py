@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.functions.ids import candidate_id, event_id, organization_id, person_id, stable_uuid
-from siftline.functions.scope import prescreen
+from siftline.functions.scope import grounded, prescreen
 from siftline.functions.text import normalize_text, text_or_empty
 from siftline.functions.urls import canonicalize_url, host
 from siftline.operators.coverage import id_coverage, judgment_violations, reasons
@@ -70,6 +70,38 @@ def apply_judgments(judged: DataFrame, since: str, until: str) -> dict[str, Data
     }
 
 
+def audit_events(events: DataFrame, candidates: DataFrame, organizations: DataFrame, merges: DataFrame, since: str, until: str) -> dict[str, DataFrame]:
+    """saved events looked at once more before dedup: ``events`` as they are then, ``reviews`` of those that fail, ``anchors``.
+
+    A valid event fails without a date or with one outside the window, without its candidate, with another date than its
+    candidate's, or where nothing of the organization's name is in what the candidate says; others pass as they are.
+    ``anchors`` are failed events that a merge has kept: where there are any, the merges must not be used.
+    events: lead_event_id, primary_candidate_id, organization_id, date_posted, record_status, validation_errors; candidates:
+    candidate_id, published_at, evidence; organizations: organization_id, canonical_name; merges: kept_event_id. Ids are unique.
+    """
+    said = candidates.select(F.col("candidate_id").alias("_cand"), F.col("published_at").cast("date").alias("_day"), F.col("evidence").alias("_said"))
+    named = organizations.select(F.col("organization_id").alias("_org"), F.col("canonical_name").alias("_name"))
+    whole = events.join(said, F.col("primary_candidate_id") == F.col("_cand"), "left").join(named, F.col("organization_id") == F.col("_org"), "left")
+    day, there = F.col("date_posted"), F.col("_cand").isNotNull()
+    # The codes of an audit.
+    found = reasons(
+        bulk_event_date_missing=day.isNull(),
+        bulk_event_outside_requested_window=~day.between(F.lit(since).cast("date"), F.lit(until).cast("date")),
+        bulk_event_primary_candidate_missing=~there,
+        bulk_event_candidate_date_mismatch=there & (day != F.col("_day")),
+        bulk_event_business_not_grounded=there & ~F.coalesce(grounded("_name", "_said"), F.lit(False)),
+    )
+    audited = whole.withColumn("_found", F.when(F.col("record_status") == "valid", found).otherwise(F.array().cast("array<string>")))
+    failed = F.size("_found") > 0
+    changes = {"record_status": F.when(failed, F.lit("review")).otherwise(F.col("record_status")), "validation_errors": F.array_union(F.coalesce("validation_errors", F.array().cast("array<string>")), "_found")}
+    bad = audited.where(failed).select("lead_event_id", F.col("_found")[0].alias("reason_code"), F.col("_found").alias("validation_errors"))
+    return {
+        "events": audited.withColumns(changes).select(events.columns),
+        "reviews": bad,
+        "anchors": bad.join(merges.select(F.col("kept_event_id").alias("lead_event_id")), "lead_event_id", "left_semi").select("lead_event_id"),
+    }
+
+
 def merge_groups(events: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events with the supporters of those merged into them, and the ledger of merges (self excluded).
 

@@ -325,6 +325,26 @@ def applied_judgments(spark, sf):
     return found.unionByName(out["review"].select(id("candidate_id"), F.lit("review").alias("route"))).unionByName(out["rejected"].select(id("candidate_id"), F.lit("rejected").alias("route")))
 
 
+@query("""WITH e AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 1 THEN NULL WHEN o_orderkey % 6 = 2 THEN date '2023-01-01' ELSE date '2024-01-15' END AS d, o_custkey % 50 = 0 AS lost,
+  o_orderkey % 6 = 3 AS other_day, o_orderkey % 6 = 4 AS other_name, o_orderkey % 7 = 0 AS before FROM orders),
+f AS (SELECT o_orderkey, before, concat_ws(',', CASE WHEN d IS NULL THEN 'bulk_event_date_missing' END, CASE WHEN d < date '2024-01-01' THEN 'bulk_event_outside_requested_window' END, CASE WHEN lost THEN 'bulk_event_primary_candidate_missing' END,
+  CASE WHEN NOT lost AND other_day THEN 'bulk_event_candidate_date_mismatch' END, CASE WHEN NOT lost AND other_name THEN 'bulk_event_business_not_grounded' END) AS found FROM e)
+SELECT o_orderkey, CASE WHEN before OR found <> '' THEN 'review' ELSE 'valid' END AS record_status, CASE WHEN before THEN '' ELSE found END AS errors, NOT before AND found <> '' AND o_orderkey % 5 = 0 AS anchor FROM f""")
+def qualification_audits(spark, sf):
+    """events with what an audit says of them, and those that fail though a merge has kept them."""
+    k, day = F.col("o_orderkey") % 6, F.lit("2024-01-15").cast("date")
+    orders, id = _orders(spark, sf), _key("o_orderkey")
+    dated = F.when(k == 1, F.lit(None).cast("date")).when(k == 2, F.lit("2023-01-01").cast("date")).otherwise(day)
+    events = orders.select(id.alias("lead_event_id"), id.alias("primary_candidate_id"), _key("o_custkey").alias("organization_id"), dated.alias("date_posted"), F.when(F.col("o_orderkey") % 7 == 0, "review").otherwise("valid").alias("record_status"), F.array().cast("array<string>").alias("validation_errors"))
+    word = F.concat(F.lit("Firm"), _key("o_custkey"))
+    said = F.concat_ws(" ", F.lit("Land bought by"), F.when(k == 4, "another").otherwise(word))
+    candidates = orders.where("o_custkey % 50 <> 0").select(id.alias("candidate_id"), F.when(k == 3, F.date_sub(day, 1)).otherwise(F.coalesce(dated, day)).cast("timestamp").alias("published_at"), said.alias("evidence"))
+    organizations = _customers(spark, sf).select(_key("c_custkey").alias("organization_id"), F.concat(F.lit("The Firm"), _key("c_custkey"), F.lit(" LLC")).alias("canonical_name"))
+    out = stages.audit_events(events, candidates, organizations, orders.where("o_orderkey % 5 = 0").select(id.alias("kept_event_id")), "2024-01-01", "2024-02-01")
+    shown = out["events"].join(out["anchors"].withColumn("anchor", F.lit(True)), "lead_event_id", "left")
+    return shown.select(F.col("lead_event_id").cast("long").alias("o_orderkey"), "record_status", F.array_join("validation_errors", ",").alias("errors"), F.coalesce("anchor", F.lit(False)).alias("anchor"))
+
+
 _ANSWERS = "WITH q AS (SELECT o_orderkey AS id, o_custkey % 40 AS batch FROM orders), a AS (SELECT id, batch, id * 2 AS said FROM q WHERE id % 9 <> 0 UNION ALL SELECT id, batch, id * 2 FROM q WHERE id % 11 = 0 AND id % 9 <> 0)"
 
 
