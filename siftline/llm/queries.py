@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm import byte_bpe as op10
 from siftline.llm import exact_dedup as op9
+from siftline.llm import fill_in_middle as op13
 from siftline.llm import fst_tokens as op6
 from siftline.llm import language_id as op1
 from siftline.llm import line_dedup as op8
@@ -14,7 +15,9 @@ from siftline.llm import media_columns as op4
 from siftline.llm import packing as op2
 from siftline.llm import quality as op7
 from siftline.llm import simhash as op3
+from siftline.llm import suffix_dedup as op11
 from siftline.llm import url_filters as op5
+from siftline.llm import vector_codes as op12
 from siftline.llm.common import is_held_out
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -95,6 +98,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op11.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = op12.compress(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", F.col("label_error").cast("long").alias("label_error"), F.lit(op12.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op13.fill_in_middle(table(spark, sf_dir, "documents"), op13.seeded_draws(F.col("doc_id"), "7"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -106,8 +124,42 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
+def _vector_codes_sql() -> str:
+    """Rounds are unrolled: entries e0, assignments s0, entries e1, ..., each a table of its own."""
+    rounds = "".join(
+        f"""
+s{i} AS MATERIALIZED (
+  SELECT id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM (
+    SELECT p.id, p.part, e.entry, sum((p.x - e.x) * (p.x - e.x))::HUGEINT AS far
+    FROM p JOIN e{i} e ON e.part = p.part AND e.place = p.place GROUP BY p.id, p.part, e.entry) GROUP BY id, part),
+e{i + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, e.place, coalesce(n.x, e.x) AS x FROM e{i} e LEFT JOIN (
+    SELECT p.part, s.entry, p.place, (sum(p.x) - ((sum(p.x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+    FROM p JOIN s{i} s ON s.id = p.id AND s.part = p.part GROUP BY p.part, s.entry, p.place) n
+  ON n.part = e.part AND n.entry = e.entry AND n.place = e.place),"""
+        for i in range(3)
+    )
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS id, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT id, (i - 1) // (len(embedding) // 16) AS part, (i - 1) % (len(embedding) // 16) AS place, floor(256 * embedding[i]::DOUBLE)::HUGEINT AS x
+  FROM (SELECT id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM v)),
+e0 AS MATERIALIZED (SELECT part, id - 1 AS entry, place, x FROM p WHERE id <= 64),{rounds}
+r AS (SELECT v.vec_id, v.label, string_agg(format('{{:02x}}', s.entry), '' ORDER BY s.part) AS code, sum(s.far)::BIGINT AS error
+      FROM v JOIN s2 s USING (id) GROUP BY v.id, v.vec_id, v.label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM e2) AS codebooks_sha256
+FROM r
+"""
+
+
 ORACLE_SQL = {
     "op5_url_filters": r"""
 WITH p AS (
@@ -138,5 +190,32 @@ FROM j GROUP BY doc_id
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
 g AS (SELECT t, first(doc_id ORDER BY n DESC, doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM n GROUP BY t)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g USING (t)
+""",
+    "op11_suffix_dedup": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS MATERIALIZED (SELECT id, place, hash(substr(x, 2 * place + 1, 800)) AS h FROM (SELECT id, x, unnest(range(0, n - 399)) AS place FROM d WHERE n >= 400)),
+m AS MATERIALIZED (SELECT id, place, x FROM (SELECT w.id, w.place, substr(d.x, 2 * w.place + 1, 800) AS x FROM w JOIN d USING (id)
+                   WHERE w.h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)) QUALIFY count(*) OVER (PARTITION BY x) > 1),
+s AS (SELECT id, place, place > coalesce(lag(place) OVER (PARTITION BY id ORDER BY place) + 400, -1) AS opens FROM m),
+r AS (SELECT id, min(place) AS a, max(place) + 400 AS b FROM (SELECT id, place, sum(opens::INT) OVER (PARTITION BY id ORDER BY place) AS run FROM s) GROUP BY id, run),
+k AS (SELECT id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM r GROUP BY id),
+g AS (SELECT id, b AS a, lead(a) OVER (PARTITION BY id ORDER BY a) AS b FROM r UNION ALL SELECT id, 0, min(a) FROM r GROUP BY id),
+t AS (SELECT g.id, string_agg(substr(d.x, 2 * g.a + 1, 2 * (coalesce(g.b, d.n) - g.a)), '' ORDER BY g.a) AS x FROM g JOIN d USING (id) GROUP BY g.id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(t.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN k USING (id) LEFT JOIN t USING (id)
+""",
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_fill_in_middle": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units, len(regexp_extract_all(text, '[^\n]*\n|[^\n]+'))::BIGINT AS n FROM t),
+h AS (SELECT *, ('0x' || substr(d, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(d, 9, 8))::BIGINT % (n + 1) AS b,
+             ('0x' || substr(d, 25, 8))::BIGINT % 100 AS kind,
+             text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || substr(d, 17, 8))::BIGINT % 100 >= 100 AS plain FROM u),
+c AS (SELECT *, array_to_string(units[1:least(a, b)], '') AS p, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS m,
+             array_to_string(units[greatest(a, b) + 1:], '') AS s, CASE WHEN plain THEN 'plain' WHEN kind < 50 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN NOT plain THEN length(p) END AS prefix_chars, CASE WHEN NOT plain THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
 """,
 }
