@@ -21,8 +21,8 @@ from pyspark.sql import Window
 from siftline.llm.common import frugal, map_rows, slices
 
 UNDETERMINED = "und"
-#: Bounds of what is learned from: rows of each language, each whole, the bytes of all languages' rows, and languages.
-SAMPLE_ROWS, SAMPLE_BYTES, MOST_LANGUAGES = 32, 32 << 20, 256
+#: Bounds of what is learned from: different texts of each language, and the bytes of all languages' texts.
+SAMPLE_ROWS, SAMPLE_BYTES = 32, 32 << 20
 #: A dictionary's content must have so many bytes; a language with less text has it repeated.
 LEAST_BYTES = 8
 BLOCK, LEVEL = 4096, 6
@@ -65,32 +65,32 @@ class Dictionaries:
 
 
 def learn(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
-    """A dictionary's content for each non-null lang of docs, the language with most rows first.
+    """A dictionary's content for each non-null lang of docs, the language with most different texts first.
 
-    At most SAMPLE_ROWS rows of each are taken, whole, chosen by a hash of doc_id: the same ones whatever the order. The
-    languages have equal shares of ``sample_bytes``, so what every task gets is bounded; rows of more than a row's share come
-    last, the shortest first, and a language that has nothing else is learned from one of them, whole. A language whose
-    rows have no letter can't be told and is left out. More than MOST_LANGUAGES: an error.
+    Only lang and text are read, and only texts with a letter count, each once, however often its row repeats. At most
+    SAMPLE_ROWS texts of each language are taken, chosen by their hash: the same ones whatever the order. The languages
+    have equal shares of ``sample_bytes``, so what every task gets is bounded, whatever their number; texts of more than
+    a text's share come last, the shortest first, and a language that has nothing else is learned from one of them, as far
+    as its share goes. A language without a letter can't be told and is left out.
     """
-    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(counted) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    known = docs.where("lang is not null").where(F.regexp_like("text", F.lit(r"\p{L}"))).select("lang", "text", F.xxhash64("text").alias("order"), F.md5("text").alias("_same"))
+    counted = known.select("lang", "_same").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counted:
         return {}
-    # About twice the rows that are wanted pass the hash; only those are ranked, so no language meets in one task.
-    share = F.create_map(*[x for r in counted for x in (F.lit(r["lang"]), F.lit(min(1.0, 2 * SAMPLE_ROWS / r["count"] + 50 / r["count"])))])
-    order = F.xxhash64("doc_id", F.length("text"))
-    some = known.withColumn("order", order).where((F.col("order").cast("double") / 2.0**64 + 0.5) <= share[F.col("lang")])
-    once = some.groupBy("lang", "order", "doc_id").agg(F.min("text").alias("text"))  # a row that repeats very often is one
-    size, most = F.octet_length("text").cast("long"), sample_bytes // len(counted)
-    in_order = Window.partitionBy("lang").orderBy(F.when(size > most // SAMPLE_ROWS, size).otherwise(0), "order", "doc_id")
+    # About twice the texts that are wanted pass the hash; only those are ranked, so no language meets in one task.
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * SAMPLE_ROWS / r["count"] + 50 / r["count"])) for r in counted], "lang string, share double")
+    passed = (F.col("order").cast("double") / 2.0**64 + 0.5) <= F.col("share")
+    some = known.join(F.broadcast(share), "lang").where(passed)
+    once = some.groupBy("lang", "order", "_same").agg(F.min("text").alias("text"))
+    size, most = F.octet_length("text").cast("long"), max(LEAST_BYTES, sample_bytes // len(counted))
+    in_order = Window.partitionBy("lang").orderBy(F.when(size > most // SAMPLE_ROWS, size).otherwise(0), "order", "_same")
     ranked = once.withColumns({"rank": F.row_number().over(in_order), "upto": F.sum(size).over(in_order.rowsBetween(Window.unboundedPreceding, 0))})
     taken = (F.col("rank") == 1) | ((F.col("rank") <= SAMPLE_ROWS) & (F.col("upto") <= most))
-    rows = ranked.where(taken).orderBy("lang", "rank").select("lang", "text").collect()
+    # letters are at most as many bytes as the text but for a few that have longer lower cases: the cut is by code points
+    rows = ranked.where(taken).orderBy("lang", "rank").select("lang", F.substring("text", 1, min(most, 2**31 - 1)).alias("text")).collect()
     out = {r["lang"]: b"" for r in counted}
     for lang, text in rows:
-        out[lang] += letters(text).encode() + b" "
+        out[lang] += letters(text).encode()[:most] + b" "
     return {lang: sample * -(-LEAST_BYTES // len(sample)) for lang, sample in out.items() if sample.strip()}
 
 

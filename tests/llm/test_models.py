@@ -38,6 +38,59 @@ def test_language_edges(spark):
     assert language_id.learn(docs.limit(0)) == {}
 
 
+def test_repeated_and_letterless_rows_lose_no_language(spark):
+    say = lambda i: " ".join(chr(97 + (i * 7 + j * j) % 26) * 3 for j in range(12))
+    rows = [(7, "une seule ligne qui se répète", "fr")] * 5000 + [(i, say(i) if i % 100 == 0 else f"{i} 12", "es") for i in range(5000)]
+    rows += [(i, f"the line number {say(i)}", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    samples = language_id.learn(docs)
+    assert list(samples) == ["en", "es", "fr"]
+    assert samples["fr"] == b"une seule ligne qui se r\xc3\xa9p\xc3\xa8te "
+    assert len(samples["es"].split()) > 100
+    # doc_id decides nothing
+    assert samples == language_id.learn(docs.withColumn("doc_id", F.col("doc_id") * 3 + 1))
+
+
+def test_more_languages_than_ever(spark):
+    docs = spark.createDataFrame([(i, f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}" * 30, f"l{i:03}") for i in range(300)], "doc_id long, text string, lang string")
+    samples = language_id.learn(docs)
+    assert len(samples) == 300
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language_id.predict(docs, samples).collect()}
+    assert sum(got[i][0] == f"l{i:03}" for i in range(300)) > 290
+    small = language_id.learn(docs, 300 * 40)
+    assert max(map(len, small.values())) <= 41 and len(small) == 300
+
+
+def test_language_equals_brute_force(spark, sf):
+    """Sizes, margins and scores recomputed with the compressor alone, of the query's own rows."""
+    import math
+    import re
+
+    import zstandard
+
+    docs = queries.table(spark, sf, "documents")
+    learned = language_id.learn(docs.where(~is_held_out(F.col("doc_id"), 4, 2)))
+    texts = dict(docs.select("doc_id", "text").collect())
+    rows = queries.op1_language_id(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        said = " ".join(re.findall(r"[^\W\d_]+", (texts[r.doc_id] or "").lower())).encode()
+        if not said:
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        sizes = {}
+        for lang, sample in learned.items():
+            content = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            press = zstandard.ZstdCompressor(dict_data=content, level=6, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(press.compress(said[i : i + 4096] + bytes(64))) for i in range(0, len(said), 4096))
+        first, second = sorted(sizes.values())[:2]
+        assert sizes[r.lang_pred] == first and r.lang_pred == min(sizes, key=sizes.get)
+        assert r.margin == pytest.approx((second - first) / second)
+        assert r.rejected == ((second - first) / second < 0.01)
+        assert r.score == pytest.approx(1 / sum(math.exp(20 * (first - x) / first) for x in sizes.values()))
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
 def test_language_sample_is_bounded_by_bytes(spark):
     rows = [(i, f"word{chr(97 + i)} " * (400 if i % 2 else 10), "en") for i in range(20)] + [(50, "mots " * 3000, "fr"), (51, "longs " * 4000, "fr")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
