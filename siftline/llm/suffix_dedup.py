@@ -31,7 +31,7 @@ MOST_SEGMENTS = 64
 #: Times that a hot bucket is dealt anew by a least hash before it is dealt by whole windows.
 DEALS = 2
 #: Bytes of segments ordered at once, and of text hashed at once.
-BATCH, PIECE = 1 << 20, 1 << 20
+BATCH, PIECE = 1 << 18, 1 << 18
 #: Slots of the set of rows that a join asks for: what is sent to all tasks is at most so many numbers.
 SLOTS = 1 << 20
 #: A key with more than one row in so many is hot, so there are at most so many hot keys.
@@ -212,7 +212,7 @@ def _deal(sources: DataFrame, length: int, deal: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most_bytes=4 * PIECE):
                 refs = part.column(0)
                 for text, *columns, twin in segments(part.column(1).to_pylist(), length, deal):
                     yield pa.RecordBatch.from_arrays([refs.take(pa.array(text)), *[pa.array(c, pa.int64()) for c in columns], pa.array(twin)], ["ref", "at", "n", *_SEGMENT, "twin"])
@@ -237,7 +237,7 @@ def _ordered(bodies: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], spans], [*_SEGMENT, "found"])
 
         for batch in batches:
-            for part in slices(batch, 4096):
+            for part in slices(batch, 1024):
                 for row in zip(*[c.to_pylist() for c in part.columns], strict=True):
                     if row[:3] == last:  # a source row that repeats
                         continue
@@ -287,7 +287,7 @@ def repeated_windows(sources: DataFrame, length: int = LENGTH, most: int = MOST_
     bodies = _written(bodies, folder, "bodies")
 
     size = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    tasks = size // (8 * BATCH) + spark.sparkContext.defaultParallelism
+    tasks = size // (32 * BATCH) + spark.sparkContext.defaultParallelism
     found = _ordered(bodies.where("not hot").repartition(tasks, "key").sortWithinPartitions(*_SEGMENT), length)
     hot = bodies.where("hot")
     if not hot.isEmpty():
