@@ -44,8 +44,13 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 # ---- windows and segments, in tasks ----------------------------------------------------------------------------------
 
 
-@cache
 def _powers(base: int, n: int) -> np.ndarray:
+    """base to the power of 0, 1, ..., n - 1, modulo 2^64."""
+    return _all_powers(base, 1 << n.bit_length())[:n]
+
+
+@cache
+def _all_powers(base: int, n: int) -> np.ndarray:
     out = np.ones(n, np.uint64)
     done = 1
     while done < n:
