@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from siftline.functions.text import normalize_text, title_tokens
 from siftline.operators.graph import connected
+from siftline.operators.order import cut
 
 # Words that don't tell events apart, and stems that count as one.
 STOP_WORDS = ("a", "an", "and", "at", "for", "in", "is", "of", "on", "the", "to", "new", "may", "plans", "planned", "project", "arizona", "az")
@@ -22,6 +23,8 @@ STEMS = {
     "condominium": "condo", "condominiums": "condo", "condos": "condo", "units": "unit",
 }
 MAX_DAYS, NEAR_DAYS, RATIO = 21, 7, 0.58
+#: Open pairs for one task of a round.
+PAIRS_PER_PART = 50_000
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float) -> DataFrame:
@@ -77,9 +80,6 @@ def duplicate_tokens(c: Column | str, company_key: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.coalesce(stems[w], F.regexp_replace(w, "s+$", "")))))
 
 
-_BLOCK_SCHEMA = "company_key string, lead_event_id string, duplicate_of string"
-
-
 @F.pandas_udf(DoubleType())
 def reads_alike(left: pd.Series, right: pd.Series) -> pd.Series:
     """How alike two texts read: the share of characters in matching blocks; there is no built-in for it."""
@@ -115,20 +115,47 @@ def event_pairs(current: DataFrame, history: DataFrame) -> DataFrame:
     return by_url.select(*ends).unionByName(near.where(sure).select(*ends)).unionByName(alike.select(*ends)).distinct()
 
 
+def blocked_events(pairs: DataFrame, steps: int = 4) -> DataFrame:
+    """now, prior of each event that repeats a standing one; prior is the first such.
+
+    pairs: now and prior, structs of (company_key, current, day, id) with prior before now. What isn't current stands. Going by date and
+    id, an event is blocked if one before it that it pairs with stands. That order is peeled in parallel: events whose
+    prior ones are all decided are decided at once. An event that has no undecided prior one stands; whatever pairs with
+    it is blocked; a blocked event's pairs are gone, which leaves others without prior ones. A chain of n events that each
+    pair with the one before takes n / 2 steps, so rounds follow the length of a company's history and not its rows.
+    Each round does several steps and is checkpointed; a round's tasks follow the pairs that are left.
+    """
+    by_history = pairs.where("prior.current = 0").select("now").distinct()
+    blocked = cut(by_history)
+    open_ = cut(pairs.where("prior.current = 1").select("now", "prior").join(blocked, "now", "left_anti"))
+    first = open_.count()
+    as_prior = lambda df: df.select(F.col("now").alias("prior"))
+    if first:  # pairs with events that history blocks are gone
+        open_ = cut(open_.join(as_prior(blocked), "prior", "left_anti").select("now", "prior"))
+    left = open_.count() if first else 0
+    while left:
+        parts, found = -(-left // PAIRS_PER_PART), None
+        open_ = open_.coalesce(parts)
+        for _ in range(steps):
+            fresh = open_.join(as_prior(open_).distinct(), "prior", "left_anti").select("now").distinct()
+            found = fresh if found is None else found.unionByName(fresh)
+            open_ = open_.join(fresh, "now", "left_anti").join(as_prior(fresh), "prior", "left_anti").select("now", "prior")
+        found = cut(found.coalesce(parts))
+        blocked = blocked.unionByName(found)
+        open_ = cut(open_.coalesce(parts))
+        left = open_.count()
+    gone = cut(blocked)
+    standing = pairs.join(gone, "now").join(as_prior(gone), "prior", "left_anti")
+    return standing.groupBy("now").agg(F.min("prior").alias("prior"))
+
+
 def cross_run_duplicates(current: DataFrame, history: DataFrame) -> DataFrame:
     """Each current event with the earlier event that it repeats, or null.
 
     An event counts against its company's history and the current events before it, by date and id, that were not blocked
-    themselves. The pairs are found by joins; only what blocks what is decided in order, over a company's pairs.
+    themselves. Pairs are found by joins and decided by joins, so a company with very many events is many tasks' work.
     """
-
-    def decide(pairs: pd.DataFrame) -> pd.DataFrame:
-        blocked: dict[str, str] = {}
-        place = lambda at: (at["current"], at["day"], at["id"])
-        for now, prior in sorted(((place(n), place(p)) for n, p in zip(pairs["now"], pairs["prior"], strict=True))):
-            if now[2] not in blocked and (prior[0] == 0 or prior[2] not in blocked):
-                blocked[now[2]] = prior[2]
-        return pd.DataFrame([(pairs["company_key"].iloc[0], a, b) for a, b in blocked.items()], columns=["company_key", "lead_event_id", "duplicate_of"])
-
-    found = event_pairs(current, history).groupBy("company_key").applyInPandas(decide, _BLOCK_SCHEMA)
+    of_company = lambda c: F.struct("company_key", f"{c}.current", f"{c}.day", f"{c}.id").alias(c)
+    pairs = cut(event_pairs(current, history).select(of_company("now"), of_company("prior")))
+    found = blocked_events(pairs).select("now.company_key", F.col("now.id").alias("lead_event_id"), F.col("prior.id").alias("duplicate_of"))
     return current.select("company_key", "lead_event_id").join(found, ["company_key", "lead_event_id"], "left")

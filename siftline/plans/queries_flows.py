@@ -494,14 +494,19 @@ def repeated_events(spark, sf):
     return out.select("company_key", "lead_event_id", "duplicate_of")
 
 
-@query("""WITH RECURSIVE e AS (SELECT o_custkey AS c, o_orderkey AS id, o_orderdate::DATE AS d, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE, lpad(o_orderkey::VARCHAR, 9, '0')) AS n FROM orders),
-w AS (SELECT c, id, d, n, id AS kept, d AS kept_on FROM e WHERE n = 1
-UNION ALL SELECT e.c, e.id, e.d, e.n, CASE WHEN e.d - w.kept_on <= 21 THEN w.kept ELSE e.id END, CASE WHEN e.d - w.kept_on <= 21 THEN w.kept_on ELSE e.d END FROM w JOIN e ON e.c = w.c AND e.n = w.n + 1)
-SELECT c::VARCHAR AS company_key, lpad(id::VARCHAR, 9, '0') AS lead_event_id, CASE WHEN kept <> id THEN lpad(kept::VARCHAR, 9, '0') END AS duplicate_of FROM w""")
+@query("""WITH RECURSIVE o AS (SELECT o_custkey AS c, lpad(o_orderkey::VARCHAR, 9, '0') AS id, o_orderdate::DATE AS d, o_orderstatus = 'F' AS old FROM orders),
+e AS (SELECT e.c, e.id, e.d, min((h.d, h.id)) AS first, row_number() OVER (PARTITION BY e.c ORDER BY e.d, e.id) AS n
+      FROM o e LEFT JOIN o h ON h.old AND h.c = e.c AND abs(e.d - h.d) <= 21 WHERE NOT e.old GROUP BY ALL),
+w AS (SELECT c, id, n, first[2] AS dup, CASE WHEN first IS NULL THEN id END AS kept, CASE WHEN first IS NULL THEN d END AS kept_on FROM e WHERE n = 1
+UNION ALL SELECT e.c, e.id, e.n, coalesce(e.first[2], CASE WHEN e.d - w.kept_on <= 21 THEN w.kept END),
+  CASE WHEN e.first IS NULL AND coalesce(e.d - w.kept_on > 21, true) THEN e.id ELSE w.kept END,
+  CASE WHEN e.first IS NULL AND coalesce(e.d - w.kept_on > 21, true) THEN e.d ELSE w.kept_on END
+  FROM w JOIN e ON e.c = w.c AND e.n = w.n + 1)
+SELECT c::VARCHAR AS company_key, id AS lead_event_id, dup AS duplicate_of FROM w""")
 def repeated_within_weeks(spark, sf):
-    """Events that say the same number within three weeks of one that holds; a blocked one blocks nothing."""
+    """Events that say the same number within three weeks of the company's history or of one that holds; a blocked one blocks nothing."""
     rows = _shaped(spark, sf, F.col("o_orderdate").cast("date")).withColumn("canonical_url", F.lit("")).withColumn("event", F.lit("250 homes"))
-    return similarity.cross_run_duplicates(rows, rows.limit(0)).select("company_key", "lead_event_id", "duplicate_of")
+    return similarity.cross_run_duplicates(rows.where("o_orderstatus <> 'F'"), rows.where("o_orderstatus = 'F'")).select("company_key", "lead_event_id", "duplicate_of")
 
 
 @query("SELECT o_orderkey AS lead_id FROM orders JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY 1) USING (o_custkey) WHERE o_orderkey <> k AND o_custkey % 3 <> 0")

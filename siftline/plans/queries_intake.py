@@ -58,25 +58,35 @@ def json_listings(spark, sf):
 
 
 def _site(spark, sf):
+    """An index of an old partition, two maps with entries in common, one that is gone, and one more than may be opened."""
     k = _key("s_suppkey")
     base = F.concat(F.lit("https://s"), k, F.lit(".example.com"))
     sources = table(spark, sf, "supplier").select(k.alias("source_id"), F.concat(base, F.lit("/sitemap.xml")).alias("source_url"))
-    index = F.format_string("<sitemapindex><sitemap><loc>https://s%1$s.example.com/a.xml</loc></sitemap><sitemap><loc>https://s%1$s.example.com/gone.xml</loc></sitemap></sitemapindex>", k)
-    child = F.format_string("<urlset><url><loc>https://s%1$s.example.com/n/1</loc></url><url><loc>https://s%1$s.example.com/n/2</loc></url><url><loc>https://s%1$s.example.com/n/1</loc></url></urlset>", k)
-    rows = F.inline(F.array(F.struct(F.concat(base, F.lit("/sitemap.xml")).alias("url"), index.alias("content")), F.struct(F.concat(base, F.lit("/a.xml")).alias("url"), child.alias("content"))))
-    return sources, table(spark, sf, "supplier").select(rows)
+    listed = F.array(*[F.lit(x) for x in ("2023/01/old", "m1", "gone", "m2", "m3")])
+    index = F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform(listed, lambda x: F.concat(F.lit("<sitemap><loc>"), base, F.lit("/"), x, F.lit(".xml</loc></sitemap>"))), ""), F.lit("</sitemapindex>"))
+    n = (F.col("s_suppkey") % 5 + 1).cast("int")
+    urls = lambda first: F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.sequence(F.lit(first), n + first - 1), lambda i: F.concat(F.lit("<url><loc>"), base, F.lit("/n/"), i.cast("string"), F.lit("</loc></url>"))), ""), F.lit("</urlset>"))
+    page = lambda path, content: F.struct(F.concat(base, F.lit(path)).alias("url"), content.alias("content"))
+    rows = F.array(page("/sitemap.xml", index), page("/2023/01/old.xml", urls(50)), page("/m1.xml", urls(1)), page("/m2.xml", urls(2)), page("/m3.xml", urls(60)))
+    return sources, table(spark, sf, "supplier").select(F.inline(rows))
 
 
-@query("SELECT s_suppkey::VARCHAR AS source_id, 'https://s' || s_suppkey || '.example.com/n/' || i AS canonical_url, 1 AS depth FROM supplier, (VALUES (1), (2)) t(i)")
+_BUDGET = {"most_documents": 4, "most_items": 7, "since": "2024-01-01"}
+
+
+@query("""SELECT s_suppkey::VARCHAR AS source_id, 'https://s' || s_suppkey || '.example.com/n/' || i AS canonical_url, 1 AS depth
+FROM (SELECT s_suppkey, unnest(range(1, CASE WHEN 2 * (s_suppkey % 5 + 1) <= 7 THEN s_suppkey % 5 + 3 ELSE s_suppkey % 5 + 2 END)) AS i FROM supplier)""")
 def sitemap_crawl(spark, sf):
-    """An index leads to its maps, and those to their entries."""
-    return listings.crawl(*_site(spark, sf))[0].select("source_id", "canonical_url", "depth")
+    """An index leads to its maps, and those to their entries, as far as documents, items and the window go."""
+    return listings.crawl(*_site(spark, sf), **_BUDGET)[0].select("source_id", "canonical_url", "depth")
 
 
-@query("SELECT s_suppkey::VARCHAR AS source_id, 'https://s' || s_suppkey || '.example.com/gone.xml' AS url, 'fetch_failed' AS error FROM supplier")
+@query("""SELECT s_suppkey::VARCHAR AS source_id, 'https://s' || s_suppkey || '.example.com/gone.xml' AS url, 'fetch_failed' AS error FROM supplier
+UNION ALL SELECT s_suppkey::VARCHAR, NULL, 'direct_listing_document_cap_reached' FROM supplier
+UNION ALL SELECT s_suppkey::VARCHAR, NULL, 'direct_listing_item_cap_reached' FROM supplier WHERE s_suppkey % 5 >= 3""")
 def crawl_errors(spark, sf):
-    """Children that no page answers for."""
-    return listings.crawl(*_site(spark, sf))[1]
+    """Children that no page answers for, and the caps that a source met."""
+    return listings.crawl(*_site(spark, sf), **_BUDGET)[1]
 
 
 @query("SELECT s_suppkey AS source_id, 'https://s' || s_suppkey || '.org' || p AS url FROM supplier, (VALUES ('/map.xml'), ('/sitemap_index.xml'), ('/wp-sitemap.xml')) t(p)")

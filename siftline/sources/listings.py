@@ -9,17 +9,17 @@ from __future__ import annotations
 import gzip
 import json
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.dates import parse_datetime
 from siftline.functions.text import text_or_empty
-from siftline.functions.urls import article_score, canonicalize_url, date_from_url, same_domain, same_site
+from siftline.functions.urls import article_score, canonicalize_url, date_from_url, outside_window, same_domain, same_site
 from siftline.operators.order import cut
 from siftline.operators.pick import ranked
 
@@ -219,40 +219,87 @@ def publication_dates(pages: DataFrame) -> DataFrame:
     return dated.select("url", F.coalesce(first, date_from_url("url").cast("timestamp")).alias("published_at"))
 
 
-def crawl(sources: DataFrame, pages: DataFrame, most_documents: int = MOST_DOCUMENTS, most_depth: int = MOST_DEPTH, most_items: int = MOST_ITEMS) -> tuple[DataFrame, DataFrame]:
+def crawl(
+    sources: DataFrame,
+    pages: DataFrame,
+    most_documents: int = MOST_DOCUMENTS,
+    most_depth: int = MOST_DEPTH,
+    most_items: int = MOST_ITEMS,
+    since: str | None = None,
+    until: str | None = None,
+    scope: Callable[[Column, Column], Column] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """The entries that listings lead to, breadth first, and an error row for each source that met a cap.
 
-    sources: source_id, source_url; pages: url (canonical), content. A level of the search is a join of the frontier with
-    the pages; there are at most ``most_depth`` + 1 of them. Documents and items of a source count in order of level and
-    position. Children that no page answers for are errors too.
+    sources: source_id, source_url; pages: url (canonical), content. A level of the search joins the frontier with the
+    pages. What a source may still open and take goes from level to level: documents, the source's own page included, are
+    opened in the order in which they were met, as long as the source has neither ``most_documents`` of them nor
+    ``most_items`` entries, so a level parses at most ``most_documents`` of a source. Nothing is taken from a document that
+    isn't opened, and of one that is no more entries or children than the source may still have entries. A document counts once; one that no page answers for counts and is an error. Not opened, and not counted:
+    partitions outside ``since`` to ``until`` by their own url, what ``scope`` (source_url, url) says no to, and anything
+    deeper than ``most_depth``. Of the entries taken, each url's first counts, unless its stated date lies outside.
+    Errors are direct_listing_document_cap_reached where the search ended with documents still waiting, and
+    direct_listing_item_cap_reached where it left items of a document, or documents that may have some. A source that is listed twice is one.
     """
-    frontier = sources.select(F.col("source_id").cast("string").alias("source_id"), "source_url", canonicalize_url("source_url").alias("doc"), F.lit("").alias("order"))
-    seen = found = missing = None
+    frontier = sources.groupBy(F.col("source_id").cast("string").alias("source_id")).agg(F.min("source_url").alias("source_url"))
+    frontier = frontier.withColumns({"doc": canonicalize_url("source_url"), "order": F.lit("")})
+    quota = frontier.select("source_id", F.lit(most_documents).cast("long").alias("documents"), F.lit(most_items).cast("long").alias("items"))
+    seen = found = problems = None
     for depth in range(most_depth + 1):
-        if seen is not None:
-            frontier = frontier.join(seen.select("source_id", "doc"), ["source_id", "doc"], "left_anti")
-        frontier = cut(ranked(frontier, ["source_id", "doc"], [F.col("order")], "_n").where("_n = 1").drop("_n"))
-        if frontier.isEmpty():
+        waiting = cut(frontier.join(quota, "source_id"))
+        if waiting.isEmpty():
             break
-        now = frontier.withColumn("depth", F.lit(depth))
+        open_ = waiting
+        if depth:
+            fits = ~outside_window("doc", since, until) if since else F.lit(True)
+            fits = fits & scope(F.col("source_url"), F.col("doc")) if scope else fits
+            open_ = waiting.where(fits).join(seen, ["source_id", "doc"], "left_anti")
+        open_ = ranked(ranked(open_, ["source_id", "doc"], [F.col("order")], "_n").where("_n = 1"), ["source_id"], [F.col("order")], "_n").where(F.col("_n") <= F.col("documents"))
+        got = open_.join(pages.select(F.col("url").alias("doc"), "content"), "doc", "left").withColumn("there", F.col("content").isNotNull())
+        got = cut(got)
+        links = raw_links(got.where("there").select("source_id", "source_url", F.col("doc").alias("url"), "content"))
+        links = cut(links.where("role in ('entry', 'child') and kind <> 'html'"))
+        good = cut(listing_entries(links, most_items)[0].select("source_id", F.col("url").alias("doc"), "role", "pos", "canonical_url", "title", "published_at"))
+        said = links.groupBy("source_id", F.col("url").alias("doc")).agg(F.count(F.lit(1)).alias("said"))
+
+        # Entries before a document, in the order of its source: from where the source has enough, documents stay shut.
+        counts = good.where("role = 'entry'").groupBy("source_id", "doc").agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy("source_id").orderBy("order")
+        n = F.coalesce("n", F.lit(0))
+        level = got.drop("content").join(counts, ["source_id", "doc"], "left").join(said, ["source_id", "doc"], "left").withColumn("n", n)
+        level = level.withColumn("before", F.coalesce(F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where("before < items or order = ''")
+        level = cut(level)
+        taken = ranked(good, ["source_id", "doc", "role"], [F.col("pos")], "_place").join(level.select("source_id", "source_url", "doc", "order", "before", "items"), ["source_id", "doc"])
+        taken = taken.withColumn("order", F.concat("order", F.format_string("/%08d", "pos")))
+        taken = taken.where("before + _place <= items")
+        entries = taken.where("role = 'entry'").select("source_id", "canonical_url", "title", "published_at", F.lit(depth).alias("depth"), "order")
+        children = taken.where("role = 'child'").select("source_id", "source_url", F.col("canonical_url").alias("doc"), "order")
+
+        left_out = F.coalesce("said", F.lit(0)) > F.col("items") - F.col("before")
+        used = level.groupBy("source_id").agg(F.count(F.lit(1)).alias("_documents"), F.sum("n").alias("_items"), F.max("order").alias("_last"), F.bool_or(left_out).alias("_left_out"))
+        after = quota.join(used, "source_id", "left").withColumns({"documents": F.col("documents") - F.coalesce("_documents", F.lit(0)), "items": F.greatest(F.lit(0), F.col("items") - F.coalesce("_items", F.lit(0)))})
+        after = cut(after.withColumn("done", (F.col("documents") <= 0) | (F.col("items") <= 0)))
+        behind = waiting.select("source_id", "order").join(after.where("done").select("source_id", F.coalesce("_last", F.lit("")).alias("_last")), "source_id").where("order > _last").select("source_id")
+        behind = behind.unionByName(children.select("source_id").join(after.where("done").select("source_id"), "source_id")).distinct()
+        stopped = after.select("source_id", "items", "_left_out").join(behind.withColumn("_behind", F.lit(True)), "source_id", "left")
+        error = F.array_compact(F.array(F.when(F.col("_behind"), "direct_listing_document_cap_reached"), F.when(F.coalesce("_left_out", F.lit(False)) | (F.col("_behind") & (F.col("items") <= 0)), "direct_listing_item_cap_reached")))
+        gone = level.where("not there").select("source_id", F.col("doc").alias("url"), F.lit("fetch_failed").alias("error"))
+        gone = gone.unionByName(stopped.select("source_id", F.lit(None).cast("string").alias("url"), F.explode(error).alias("error")))
+
+        now = level.select("source_id", "doc")
         seen = now if seen is None else seen.unionByName(now)
-        got = now.join(pages.select(F.col("url").alias("doc"), "content"), "doc", "left")
-        gone = got.where("content is null").select("source_id", F.col("doc").alias("url"), F.lit("fetch_failed").alias("error"))
-        missing = gone if missing is None else missing.unionByName(gone)
-        links = raw_links(got.where("content is not null").select("source_id", "source_url", F.col("doc").alias("url"), "content"))
-        good, _ = listing_entries(links, most_items)
-        placed = good.join(now.select("source_id", F.col("doc").alias("url"), "order"), ["source_id", "url"]).withColumn("order", F.concat("order", F.format_string("/%08d", "pos")))
-        placed = cut(placed)
-        items = placed.where("role = 'entry'").select("source_id", "canonical_url", "title", "published_at", F.lit(depth).alias("depth"), "order")
-        found = items if found is None else found.unionByName(items)
-        frontier = placed.where("role = 'child'").select("source_id", "source_url", F.col("canonical_url").alias("doc"), "order")
-    over = cut(frontier) if frontier is not None else None
-    documents = ranked(seen, ["source_id"], [F.col("depth"), F.col("order")], "n")
-    entries = ranked(ranked(found, ["source_id", "canonical_url"], [F.col("depth"), F.col("order")], "_n").where("_n = 1").drop("_n"), ["source_id"], [F.col("depth"), F.col("order")], "n")
-    capped = documents.where(F.col("n") > most_documents).select("source_id", F.lit("direct_listing_document_cap_reached").alias("error"))
-    capped = capped.unionByName(over.select("source_id", F.lit("direct_listing_document_cap_reached").alias("error"))).unionByName(entries.where(F.col("n") > most_items).select("source_id", F.lit("direct_listing_item_cap_reached").alias("error"))).distinct()
-    errors = capped.select("source_id", F.lit(None).cast("string").alias("url"), "error").unionByName(missing)
-    return entries.where(F.col("n") <= most_items).drop("n", "order"), errors
+        found = entries if found is None else found.unionByName(entries)
+        problems = gone if problems is None else problems.unionByName(gone)
+        quota = after.where("not done").select("source_id", "documents", "items")
+        frontier = children
+    if found is None:  # no sources
+        none = sources.sparkSession.createDataFrame([], "source_id string, canonical_url string, title string, published_at timestamp, depth int")
+        return none, none.select("source_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("error"))
+    first = ranked(found, ["source_id", "canonical_url"], [F.col("depth"), F.col("order")], "_n").where("_n = 1").drop("_n", "order")
+    if since:
+        day = F.col("published_at").cast("date")
+        first = first.where(day.isNull() | ((day >= F.lit(since).cast("date")) & F.coalesce(day <= F.lit(until).cast("date"), F.lit(True))))
+    return first, problems.distinct()
 
 
 def fallback_entries(answers: DataFrame, coverage: DataFrame, pages: DataFrame, since: str, until: str, most: int = 100) -> DataFrame:

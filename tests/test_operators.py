@@ -114,6 +114,34 @@ def test_cross_run_duplicates(spark):
     assert got == {"e1": "h1", "e2": "h1", "e3": None, "e4": None, "e5": None, "e6": None}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cross_run_duplicates_equal_steps(spark, seed):
+    """Against one event after the other: chains, ties, a company with a third of all events, history on both sides."""
+    import datetime
+
+    rng = random.Random(seed)
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
+    rows = []
+    for i in range(240):
+        company = "hot" if i % 3 == 0 else f"c{rng.randrange(4)}"
+        when = None if rng.random() < 0.05 else rng.randrange(900)
+        rows.append((company, f"e{i:03}", "250 homes", "", when, f"u{rng.randrange(60)}" if rng.random() < 0.2 else "", rng.random() < 0.15))
+    rows += [("chain", f"k{i:03}", "250 homes", "", 20 * i, "", False) for i in range(40)]  # each pairs with the one before only
+    schema = "company_key string, lead_event_id string, event string, location string, date_posted date, canonical_url string"
+    frame = lambda some: spark.createDataFrame([(*r[:4], None if r[4] is None else day(r[4]), r[5]) for r in some], schema)
+    now, past = [r for r in rows if not r[6]], [r for r in rows if r[6]]
+    want, standing = {}, list(past)
+    for r in sorted(now, key=lambda r: (r[0], -(2**31) if r[4] is None else r[4], r[1])):
+        near = [p for p in standing if p[0] == r[0] and ((r[5] and p[5] == r[5]) or (None not in (p[4], r[4]) and abs(p[4] - r[4]) <= 21))]
+        first = min(near, key=lambda p: (not p[6], -(2**31) if p[4] is None else p[4], p[1]), default=None)
+        want[r[1]] = first and first[1]
+        if not first:
+            standing.append(r)
+    got = similarity.cross_run_duplicates(frame(now), frame(past)).collect()
+    assert {r.lead_event_id: r.duplicate_of for r in got} == want and len(got) == len(now)
+    assert similarity.cross_run_duplicates(frame(now).limit(0), frame(past)).count() == 0
+
+
 def test_resolve_and_align(spark):
     schema = "company_id string, domain string, names array<string>"
     old = spark.createDataFrame([("A", "a.com", ["Acme, Inc."]), ("B", "", ["Beta"])], schema)

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import hmac
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,8 +58,63 @@ def test_crawl(spark):
     entries, errors = listings.crawl(sources, _pages(spark).select("url", "content"))
     assert sorted((r.canonical_url, r.depth) for r in entries.collect()) == [("https://x.com/u1", 1), ("https://x.com/u2", 1)]
     assert [(r.url, r.error) for r in errors.collect()] == [("https://x.com/lost.xml", "fetch_failed")]
-    few, _ = listings.crawl(sources, _pages(spark).select("url", "content"), most_items=1)
+    few, capped = listings.crawl(sources, _pages(spark).select("url", "content"), most_items=1)
     assert few.count() == 1 and "direct_listing_item_cap_reached" not in {r.error for r in errors.collect()}
+    assert {r.error for r in capped.collect()} == {"direct_listing_item_cap_reached"}
+    none, no_errors = listings.crawl(sources.limit(0), _pages(spark).select("url", "content"))
+    assert none.count() == 0 and no_errors.count() == 0
+
+
+def walked(root, pages, most_documents, most_depth, most_items, outside):
+    """One source, one document after the other."""
+    queue, seen, entries, errors, left_out = [(root, 0)], set(), [], set(), False
+    while queue and len(seen) < most_documents and (len(entries) < most_items or not seen):
+        url, depth = queue.pop(0)
+        if url in seen or depth > most_depth or (seen and outside(url)):
+            continue
+        seen.add(url)
+        if url not in pages:
+            errors.add((url, "fetch_failed"))
+            continue
+        rows = listings.listing_links(pages[url]) or []
+        once = {r: list(dict.fromkeys(x[2] for x in rows if x[1] == r)) for r in ("entry", "child")}
+        room = most_items - len(entries)
+        left_out |= len(rows) > room
+        entries += once["entry"][:room]
+        queue += [(u, depth + 1) for u in once["child"][:room]]
+    queue = [x for x in queue if x[1] <= most_depth]
+    if queue:
+        errors.add((None, "direct_listing_document_cap_reached"))
+    if left_out or (queue and len(entries) >= most_items):
+        errors.add((None, "direct_listing_item_cap_reached"))
+    return set(entries), errors
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_crawl_equals_one_document_after_the_other(spark, seed):
+    """More listings than may be opened, partitions outside the window, loops, repeats, lost documents."""
+    rng, pages, sources = random.Random(seed), {}, []
+    xml = lambda tag, item, urls: f"<{tag}>{''.join(f'<{item}><loc>{u}</loc></{item}>' for u in urls)}</{tag}>".encode()
+    for s in range(4):
+        base = f"https://s{s}.com"
+        docs = [f"{base}/d{i}.xml" for i in range(150 if s == 0 else 25)] + [f"{base}/2023/0{m}/p.xml" for m in range(1, 4)]
+        pages[f"{base}/root.xml"] = xml("sitemapindex", "sitemap", docs if s == 0 else rng.choices(docs, k=12))
+        sources.append((f"{s}", f"{base}/root.xml"))
+        for d in docs:
+            kind = rng.random()
+            if kind < 0.15:
+                pages[d] = xml("sitemapindex", "sitemap", rng.choices([*docs, f"{base}/root.xml", f"{base}/lost.xml"], k=5))
+            elif kind < 0.95:
+                pages[d] = xml("urlset", "url", [f"{base}/e{rng.randrange(400)}" for _ in range(rng.randrange(6))])
+    frame = spark.createDataFrame(sources, "source_id string, source_url string")
+    content = spark.createDataFrame([(u, bytearray(c)) for u, c in pages.items()], "url string, content binary")
+    for caps in ((100, 4, 1000), (7, 2, 20), (100, 3, 11)):
+        found, errors = listings.crawl(frame, content, *caps, since="2024-01-01", until="2024-12-31")
+        found, errors = found.collect(), errors.collect()
+        for source, root in sources:
+            want, wrong = walked(root, pages, *caps, lambda u: "/2023/" in u)
+            assert {r.canonical_url for r in found if r.source_id == source} == want
+            assert {(r.url, r.error) for r in errors if r.source_id == source} == wrong
 
 
 def test_publication_dates(spark):
