@@ -30,9 +30,20 @@ def text_or_empty(c: Column | str) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 
 
+# The lower-case letters whose full case folding has an a to z that the letter itself hasn't.
+FOLDS = {
+    "ß": "ss", "ŉ": "ʼn", "ſ": "s", "ǰ": "j\u030c", "ẖ": "h\u0331", "ẗ": "t\u0308", "ẘ": "w\u030a", "ẙ": "y\u030a", "ẚ": "aʾ",
+    "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st",
+}
+
+
 def casefold(c: Column) -> Column:
-    """Lower case with the one common letter whose full case folding differs from its lower case."""
-    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    """Case-folded as far as a to z go: lower case, and the few letters that fold to others. Texts without any cost one test."""
+    low = F.lower(c)
+    folded = low
+    for letter, others in FOLDS.items():
+        folded = F.replace(folded, F.lit(letter), F.lit(others))
+    return F.when(F.regexp_like(low, F.lit(f"[{''.join(FOLDS)}]")), folded).otherwise(low)
 
 
 def normalize_text(c: Column | str) -> Column:

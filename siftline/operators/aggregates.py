@@ -13,12 +13,15 @@ GREEN_POINTS = 85
 def usage_summary(attempts: DataFrame, keys: list[str], usage: str = "usage_json") -> DataFrame:
     """Per key and usage name the sum of its top-level numbers, cut to whole numbers row by row; true counts 1.
 
-    Nested values and text are left out. The names ``attempts`` and ``billable`` count rows.
+    Nested values and text are left out: a value's own type decides. A text that isn't a JSON object, or names a key twice,
+    counts as a row only. The names ``attempts`` and ``billable`` count rows.
     """
-    raw = F.from_json(F.col(usage), "map<string,string>")
-    value = F.when(F.col("value") == "true", F.lit(1)).when(F.col("value") == "false", F.lit(0)).otherwise(F.col("value").try_cast("double").cast("bigint"))
-    quoted = F.concat(F.lit('"'), F.regexp_replace("name", r'([\\\[\]{}().*+?^$|])', r"\\$1"), F.lit(r'"\s*:\s*"'))
-    parts = attempts.select(*keys, usage, F.explode(raw).alias("name", "value")).where(~F.regexp_like(F.col(usage), quoted)).select(*keys, "name", value.alias("amount"))
+    parsed = attempts.select(*keys, F.try_parse_json(F.col(usage)).alias("_usage"))
+    each = parsed.lateralJoin(attempts.sparkSession.tvf.variant_explode(F.col("_usage").outer()))
+    kind = F.schema_of_variant("value")
+    number = F.try_variant_get("value", "$", "double").cast("bigint")
+    value = F.when(kind == "BOOLEAN", F.try_variant_get("value", "$", "boolean").cast("bigint")).when(F.regexp_like(kind, F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")), number)
+    parts = each.where("key is not null").select(*keys, F.col("key").alias("name"), value.alias("amount"))
     sums = parts.where("amount is not null").groupBy(*keys, "name").agg(F.sum("amount").cast("bigint").alias("total"))
     counts = attempts.groupBy(*keys).agg(F.count(F.lit(1)).alias("attempts"), F.sum(F.coalesce(F.col("billable").cast("int"), F.lit(0))).cast("bigint").alias("billable"))
     return sums.unionByName(counts.unpivot(keys, ["attempts", "billable"], "name", "total"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,8 +25,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
-    """df with each row's number, from 1, in the order of columns that together are unique.
+def numbered(df: DataFrame, order: list[str] | list[Column], name: str = "n") -> DataFrame:
+    """df with each row's number, from 1, in the order of columns; rows that tie have numbers of their own, in any order.
 
     Rows are range-partitioned and sorted; a partition's first number follows from the counts of those before it.
     The partitioned rows are checkpointed, so numbers and counts come from the same partitions.

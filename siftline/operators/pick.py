@@ -118,9 +118,11 @@ def cap_per_key(df: DataFrame, keys: list[str], order: list[Column], most: int)
 
 
 def spend_cap(df: DataFrame, order: list[Column], most: int) -> tuple[DataFrame, DataFrame]:
-    """The first ``most`` rows and the deferred rest. The first are few, so the rest is found without a global sort."""
-    first = df.orderBy(*order).limit(most)
-    return first, df.join(F.broadcast(first.select(*df.columns[:1])), df.columns[0], "left_anti")
+    """The first ``most`` rows and the deferred rest: together all rows, also those that repeat or tie."""
+    from siftline.operators.order import cut, numbered
+
+    ranks = cut(numbered(df, order, "_rank"))  # both sides see one order of ties
+    return ranks.where(F.col("_rank") <= most).drop("_rank"), ranks.where(F.col("_rank") > most).drop("_rank")
 
 
 def mailbox_winners(df: DataFrame) -> DataFrame:

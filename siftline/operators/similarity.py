@@ -58,9 +58,17 @@ def title_pairs(df: DataFrame, threshold: float, title: str = "title") -> DataFr
 
 
 def title_clusters(df: DataFrame, threshold: float, title: str = "title") -> DataFrame:
-    """Key (a distinct title) and component: the smallest title that a chain of similar ones reaches."""
+    """Key (a distinct title) and component: the smallest title that a chain of similar ones reaches.
+
+    Titles of one token set are one node, so they are never paired with each other; one without tokens is like no other.
+    """
     titles = df.select(F.col(title).alias("node")).where(F.col(title).isNotNull()).distinct()
-    return connected(titles, title_pairs(df, threshold, title)).select(F.col("node").alias(title), "component")
+    titles = titles.withColumn("tokens", title_tokens("node")).withColumn("own", F.when(F.size("tokens") == 0, F.col("node")))
+    sets = cut(titles.groupBy("tokens", "own").agg(F.min("node").alias("key")))
+    found = connected(sets.select(F.col("key").alias("node")), jaccard_pairs(sets.select("key", "tokens"), threshold))
+    of_set = sets.join(found.withColumnRenamed("node", "key"), "key").select("tokens", "own", "component")
+    same = (titles["tokens"] == of_set["tokens"]) & titles["own"].eqNullSafe(of_set["own"])
+    return titles.join(of_set, same).select(F.col("node").alias(title), "component")
 
 
 def recent_candidates(leads: DataFrame, title: Column, now: Column, days: int, threshold: float) -> DataFrame:

@@ -19,17 +19,19 @@ class IntegrityError(RuntimeError):
 
 
 def canonical_json(*columns: str) -> F.Column:
-    """Compact JSON of the columns in order of their names; nulls are left out."""
-    return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]))
+    """Compact JSON of the columns in order of their names; a null is said as null, so it differs from no column."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """Rows and a hash of them that doesn't depend on their order: the sum of 60 bits of each row's SHA-256.
+    """Rows and a hash of them that doesn't depend on their order: the sums of eight words of each row's SHA-512.
 
-    The sum merges before the shuffle; a hash over one sorted document would need all rows in one place.
+    Sums merge before the shuffle; a hash over one sorted document would need all rows in one place.
     """
-    row = F.conv(F.substring(F.sha2(canonical_json(*df.columns), 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    return df.select(row.alias("h")).agg(F.count(F.lit(1)).alias("n_rows"), F.sha2(F.concat_ws(":", F.count(F.lit(1)), F.coalesce(F.sum("h"), F.lit(0)).cast("string")), 256).alias("content_hash"))
+    row = F.sha2(canonical_json(*df.columns), 512)
+    words = [F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"w{i}") for i in range(8)]
+    sums = [F.coalesce(F.sum(f"w{i}"), F.lit(0)).cast("string") for i in range(8)]
+    return df.select(*words).agg(F.count(F.lit(1)).alias("n_rows"), F.sha2(F.concat_ws(":", F.count(F.lit(1)), *sums), 256).alias("content_hash"))
 
 
 def configuration_hash(configuration: dict) -> str:

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftline.functions import contacts, dates, deals, ids, text, urls
+from siftline.functions.text import FOLDS
 from siftline.operators import similarity
 from siftline.plans.catalog import query
 from siftline.plans.domain import LEAD_EVENTS, lead_events, log, pages
 from siftline.session import table
 
-_NORM = "trim(regexp_replace(replace(lower(coalesce({0}, '')), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
+_FOLDED = "lower(coalesce({0}, ''))"
+for _letter, _others in FOLDS.items():
+    _FOLDED = f"replace({_FOLDED}, '{_letter}', '{_others}')"
+_NORM = f"trim(regexp_replace({_FOLDED}, '[^a-z0-9]+', ' ', 'g'))"
 
 
 def _n(c: str) -> str:

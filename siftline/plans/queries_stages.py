@@ -8,6 +8,7 @@ from siftline.functions import crm, scope
 from siftline.operators import stages
 from siftline.plans import exports
 from siftline.plans.catalog import query
+from siftline.plans.queries_scalar import _n as norm
 from siftline.plans.domain import CONTACTS, LEAD_EVENTS, contacts, lead_events, log, pages
 from siftline.session import table
 from siftline.sources import listings
@@ -26,7 +27,7 @@ def listing_scope(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", scope.listing_in_scope(title, F.lit("https://x.com/a"), F.lit("")).alias("inside"))
 
 
-@query("""WITH w AS (SELECT doc_id, string_split(trim(regexp_replace(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g')), ' ') AS t FROM documents)
+@query(f"""WITH w AS (SELECT doc_id, string_split({norm('text')}, ' ') AS t FROM documents)
 SELECT doc_id, list_contains(t, 'idiot') OR list_contains(t, 'clown') AS grounded FROM w""")
 def business_grounding(spark, sf):
     """documents that hold a distinctive word of a name."""

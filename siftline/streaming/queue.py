@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.deals import backoff_seconds
 from siftline.operators.aggregates import watermark
+from siftline.operators.order import cut
 
 MOST_CLAIMED, LEAST_LEASE, LEAST_DELAY = 100, 30, 30
 
@@ -45,11 +46,35 @@ def replay_dead_letters(items: DataFrame, now: Column) -> DataFrame:
 
 
 def fold_actions(log: DataFrame, most_attempts: int) -> DataFrame:
-    """Key, status and attempts after a log (key, seq, action) of enqueue, claim, complete, retry and defer."""
-    attempts = F.greatest(F.lit(0), F.count_if(F.col("action") == "claim") - F.count_if(F.col("action") == "defer"))
-    last = F.max_by("action", "seq")
+    """Key, status and attempts after a log of enqueue, claim, complete, retry, defer and replay.
+
+    log: key, seq (unique for a key), action. A claim adds an attempt and a defer takes one back, but never below zero: the
+    running sum less its smallest value so far, if that is negative. A retry with ``most_attempts`` or more is a dead
+    letter; a replay makes a dead letter pending with no attempts, and does nothing to another item. Windows go through a
+    key's rows in order and hold none of them. Which replays find a dead letter is decided from one to the next, for all keys
+    at once, so there are as many rounds as one item had such replays, and none where nothing is replayed.
+    """
+    rows = log.select("key", "seq", "action")
+    in_order = Window.partitionBy("key").orderBy("seq")
+    change = F.when(F.col("action") == "claim", 1).when(F.col("action") == "defer", -1).otherwise(0)
+
+    def counted(some: DataFrame) -> DataFrame:
+        sums = some.withColumn("_sum", F.sum(change).over(in_order)).withColumn("_before", F.lag("action").over(in_order))
+        return sums.withColumn("attempts", (F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(in_order))).cast("long"))
+
+    while not rows.where("action = 'replay'").isEmpty():
+        # What follows a retry that was the last is a dead letter; a replay of anything else, or of what is replayed, is nothing.
+        dead = counted(rows).where((F.col("action") == "replay") & (F.col("_before") == "retry") & (F.col("attempts") >= most_attempts))
+        first = cut(dead.groupBy("key").agg(F.min("seq").alias("_from")))
+        if first.isEmpty():
+            break
+        action = F.when(F.col("seq") == F.col("_from"), "replayed").otherwise(F.col("action"))
+        rows = cut(rows.join(first, "key", "left").where("_from is null or seq >= _from").select("key", "seq", action.alias("action")))
+    told = F.when(F.col("action") != "replay", F.col("seq"))
+    last = F.max_by("action", told)
+    attempts = F.max_by("attempts", "seq")
     status = F.when(last == "claim", "running").when(last == "complete", "completed").when((last == "retry") & (attempts >= most_attempts), "dead_letter").otherwise("pending")
-    return log.groupBy("key").agg(status.alias("status"), attempts.alias("attempts"))
+    return counted(rows).groupBy("key").agg(status.alias("status"), attempts.alias("attempts"))
 
 
 def operations(log: DataFrame, now: Column) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siftline.operators.fold import MIN
+from siftline.operators.order import cut
 from siftline.operators.pick import first_per_key
+from siftline.operators.snapshot import Snapshot
 from siftline.streaming.queue import in_replay_window
 
 KEYS = ["provider", "provider_event_id"]
@@ -29,10 +32,43 @@ def work_items(hooks: DataFrame) -> DataFrame:
 
 
 def accept_stream(hooks: DataFrame, delay: str = "1 day") -> DataFrame:
-    """T01 over a stream: later copies within the watermark's delay are dropped; state is bounded by the delay."""
+    """T01 over a stream: later copies within the watermark's delay are dropped; state is bounded by the delay.
+
+    A copy that is later than that is taken as new: ``accept_for_good`` drops those, too.
+    """
     return hooks.where("signature_valid").withWatermark("received_at", delay).dropDuplicatesWithinWatermark(KEYS)
 
 
+def accepted_store(spark: SparkSession, folder: str, buckets: int = 64) -> Snapshot:
+    """The keys that were accepted, for good."""
+    return Snapshot(spark, f"{folder}/keys", KEYS, "received_at", {"received_at": MIN}, buckets)
+
+
+def accept_batch(hooks: DataFrame, batch: int, folder: str, buckets: int = 64) -> None:
+    """The hooks of a micro-batch that were never accepted before, to ``folder/accepted/batch=<n>``.
+
+    A copy is dropped however late it comes. Known keys are looked up in the buckets that the batch touches, and in no other.
+    The rows are written before their keys, and keys are written once for a batch: a batch that is repeated
+    after any failure writes the same rows again in place, or nothing.
+    """
+    spark = hooks.sparkSession
+    store = accepted_store(spark, folder, buckets)
+    fresh = cut(accept(hooks))
+    if store.last_batch() >= batch:
+        return
+    touched = {r.b for r in fresh.select(F.pmod(F.xxhash64(*KEYS), F.lit(buckets)).alias("b")).distinct().collect()}
+    known = store.read(buckets=touched)
+    if known is not None:
+        fresh = cut(fresh.join(known.select(*KEYS), KEYS, "left_anti"))
+    fresh.write.mode("overwrite").parquet(f"{folder}/accepted/batch={batch}")
+    store.add(fresh.select(*KEYS, "received_at"), batch)
+
+
+def accept_for_good(hooks: DataFrame, folder: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """T01 over a stream, without a watermark: each provider and event id once, ever, in ``folder/accepted``."""
+    return run_available(hooks, lambda rows, batch: accept_batch(rows, batch, folder, buckets), checkpoint)
+
+
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """What is there now, in batches that a restart repeats whole. handle: (rows, batch id)."""
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

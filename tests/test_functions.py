@@ -19,6 +19,11 @@ def column(spark, values, expr, kind="string"):
 
 def test_normalize_text(spark):
     assert column(spark, ["Straße & Co.", None, "  A--b ", "É"], text.normalize_text) == ["strasse co", "", "a b", ""]
+    import re
+    import sys
+
+    given = [f"x{chr(p)}y" for p in range(sys.maxunicode + 1) if re.search("[a-z0-9]", chr(p).casefold()) and not 0xD800 <= p < 0xE000] + ["Oﬃce", "ſtore", "WEIẞ"]
+    assert column(spark, given, text.normalize_text) == [" ".join(re.findall("[a-z0-9]+", t.casefold())) for t in given]
 
 
 def test_stable_ids(spark):

@@ -152,6 +152,76 @@ def test_resolve_and_align(spark):
     assert aligned == {"n1": "A", "n2": "A", "n4": "n4"}
 
 
+def test_alignment_by_increments_equals_one_run(spark):
+    rng = random.Random(3)
+    rows = [(i, f"d{rng.randrange(40)}.com" if rng.random() < 0.4 else "", [f"name {rng.randrange(90)}" for _ in range(rng.randrange(3))]) for i in range(90)]
+    rows += [(200 + i, "everyone.com", []) for i in range(20)]
+    schema = "company_id long, domain string, names array<string>"
+    frame = lambda some: spark.createDataFrame(some, schema)
+    want = {r.company_id: r.label for r in identity.align_increment(frame(rows))[0].collect()}
+    nodes = {r[0] for r in rows}
+    assert set(want) == nodes
+    rng.shuffle(rows)
+    labels = keys = None
+    before = {}
+    for i in range(3):
+        labels, keys, merged = identity.align_increment(frame(rows[i * 37 : i * 37 + 37]), labels, keys)
+        labels, keys, gone = order.cut(labels), order.cut(keys), {r.label: r.into for r in merged.collect()}
+        now = {r.company_id: r.label for r in labels.collect()}
+        assert {c: gone.get(x, x) for c, x in before.items()} == {c: now[c] for c in before}  # nothing but merged labels changes
+        before = now
+    group = lambda found: {frozenset(c for c in found if found[c] == x) for x in set(found.values())}
+    assert group(before) == group(want) and labels.count() == len(nodes)
+    assert len(group(want)) < len(nodes) - 20
+    again, _, merged = identity.align_increment(frame(rows[:5]), labels, keys)
+    assert {r.company_id: r.label for r in again.collect()} == before and merged.count() == 0
+
+
+def test_snapshot_increments_equal_the_whole_log(spark, tmp_path):
+    """In any order of batches, late rows included; only touched buckets are written; a reader sees whole versions."""
+    from siftline.operators.snapshot import Snapshot
+
+    rng = random.Random(8)
+    rules = {"a": fold.LAST, "b": fold.COALESCE, "c": fold.NON_EMPTY, "d": fold.MAX, "e": fold.FIRST, "f": fold.MIN}
+    pick_one = lambda: rng.choice([None, "", "x", "y", "z"])
+    rows = [(f"k{rng.randrange(12)}", i, pick_one(), pick_one(), pick_one(), rng.choice([None, 1, 5]), pick_one(), rng.randrange(9)) for i in range(200)]
+    schema = "key string, seq long, a string, b string, c string, d int, e string, f int"
+    whole = fold.fold(spark.createDataFrame(rows, schema), ["key"], "seq", rules)
+    read = lambda df: sorted((tuple(r) for r in df.select("key", *rules).collect()), key=repr)
+    rng.shuffle(rows)
+    store = Snapshot(spark, str(tmp_path / "s"), ["key"], "seq", rules, buckets=4, most_files=2)
+    assert store.read() is None and store.version() == 0
+    seen = []
+    for i in range(8):
+        assert store.add(spark.createDataFrame(rows[25 * i : 25 * i + 25], schema), i)
+        seen.append(read(store.read()))
+    assert seen[-1] == read(whole)
+    assert not store.add(spark.createDataFrame(rows[:25], schema), 7)  # the last batch again
+    assert [read(store.read(v)) for v in range(1, 9)] == seen  # as of every version
+    listed = store._listing()
+    one = spark.createDataFrame([("k1", 999, "new", None, None, None, None, None)], schema)
+    store.add(one, 8)
+    touched = {r.bucket for r in store._listing()} & {r.bucket for r in store._listing() if (r.bucket, r.path) not in {(x.bucket, x.path) for x in listed}}
+    assert len(touched) == 1
+    assert {r.key: r.a for r in store.read().collect()}["k1"] == "new"
+    store.add(one.limit(0), 9)
+    assert store.version() == 10 and len(read(store.read())) == 12
+
+
+def test_spend_cap_loses_no_row(spark):
+    rows = [(1, 9), (1, 5), (2, 7), (3, 1), (1, 9)]
+    first, rest = pick.spend_cap(spark.createDataFrame(rows, "a int, b int"), [F.col("b").desc()], 1)
+    assert first.collect() == [(1, 9)] and sorted(map(tuple, rest.collect())) == [(1, 5), (1, 9), (2, 7), (3, 1)]
+
+
+def test_clusters_pair_no_two_titles_of_one_set(spark):
+    titles = [f"Unit {i} sold" for i in range(60)] + ["unit sold downtown", "other thing", "12", "13", "unit sold"]
+    df = spark.createDataFrame([(t,) for t in titles], "title string")
+    got = {r.title: r.component for r in similarity.title_clusters(df, 0.5).collect()}
+    assert len(got) == 65 and {got[f"Unit {i} sold"] for i in range(60)} == {"Unit 0 sold"} and got["unit sold downtown"] == got["unit sold"] == "Unit 0 sold"
+    assert (got["12"], got["13"], got["other thing"]) == ("12", "13", "other thing")
+
+
 def test_numbers(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     assert {r.k: r.n for r in order.numbered(df, ["k"]).collect()} == {i: i + 1 for i in range(1000)}
@@ -160,6 +230,8 @@ def test_numbers(spark):
 
 def test_usage_counts_booleans_and_skips_text(spark):
     df = spark.createDataFrame([(1, True, '{"a": 1.9, "b": true, "c": "7", "d": {"e": 1}}'), (1, False, '{"a": 1.9}'), (1, None, "bad")], "k int, billable boolean, usage_json string")
+    odd = spark.createDataFrame([(2, None, '{"tokens": 5, "detail": {"tokens": "many"}}'), (2, None, "[1, 2]"), (2, None, None), (2, None, '{"x.y": -2.7, "z": null}')], df.schema)
+    assert {r.name: r.total for r in aggregates.usage_summary(odd, ["k"]).collect()} == {"tokens": 5, "x.y": -2, "attempts": 4, "billable": 0}
     got = {r.name: r.total for r in aggregates.usage_summary(df, ["k"]).collect()}
     assert got == {"a": 2, "b": 1, "attempts": 3, "billable": 1}
 

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.streaming import feed_health, queue, sequences, stateful, suppression
+from siftline.streaming import feed_health, queue, sequences, stateful, suppression, webhooks
 
 
 def run(spark, rows, schema, make, folder, parts=3):
@@ -25,18 +25,89 @@ def run(spark, rows, schema, make, folder, parts=3):
     return out
 
 
-@pytest.mark.parametrize("seed", [1])
-def test_queue_stream_equals_fold(spark, tmp_path, seed):
-    rng, rows, seq = random.Random(seed), [], 0
-    for key in "abcdef":
-        for _ in range(rng.randrange(1, 9)):
-            for action in ("claim", rng.choice(["retry", "defer", "complete"])):
-                seq += 1
-                rows.append((key, seq, action))
+def stepped(rows, most):
+    """One action after the other."""
+    out = {}
+    for key, _, action in sorted(rows, key=lambda r: r[1]):
+        status, attempts = out.get(key, ("pending", 0))
+        if action == "claim":
+            status, attempts = "running", attempts + 1
+        elif action == "complete":
+            status = "completed"
+        elif action == "defer":
+            status, attempts = "pending", max(0, attempts - 1)
+        elif action == "retry":
+            status = "dead_letter" if attempts >= most else "pending"
+        elif action == "replay":
+            status, attempts = ("pending", 0) if status == "dead_letter" else (status, attempts)
+        else:
+            status = "pending"
+        out[key] = status, attempts
+    return out
+
+
+def test_queue_stream_and_fold_equal_steps(spark, tmp_path):
+    rng, rows = random.Random(1), [("x", 0, "replay"), ("y", 1, "claim"), ("y", 2, "defer"), ("y", 3, "defer"), ("y", 4, "claim")]
+    for key in range(60):
+        for _ in range(rng.randrange(1, 25)):
+            rows.append((f"k{key}", len(rows), rng.choice(["claim", "claim", "retry", "retry", "defer", "complete", "replay", "enqueue"])))
+    rng.shuffle(rows)
     schema = "key string, seq long, action string"
-    got = run(spark, rows, schema, lambda s: stateful.queue_states(s, 3), tmp_path)
-    want = queue.fold_actions(spark.createDataFrame(rows, schema), 3).collect()
-    assert {k: (v.status, v.attempts) for k, v in got.items()} == {r.key: (r.status, r.attempts) for r in want}
+    for most in (1, 2, 4):
+        got = queue.fold_actions(spark.createDataFrame(rows, schema).repartition(3), most).collect()
+        assert {r.key: (r.status, r.attempts) for r in got} == stepped(rows, most)
+    assert queue.fold_actions(spark.createDataFrame([], schema), 2).count() == 0
+    rows.sort(key=lambda r: r[1])
+    got = run(spark, rows, schema, lambda s: stateful.queue_states(s, 2), tmp_path)
+    assert {k: (v.status, v.attempts) for k, v in got.items()} == stepped(rows, 2)
+
+
+def test_leases_end_by_themselves(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    at = lambda s: start + timedelta(seconds=s)
+    schema = "key string, seq long, action string, at timestamp, seconds int"
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    parts = [
+        [("lost", 1, "claim", at(0), 60), ("done", 1, "claim", at(0), 60), ("again", 1, "claim", at(0), 5), ("dead", 1, "claim", at(0), 60), ("dead", 2, "claim", at(1), 60)],
+        [("done", 2, "complete", at(10), None), ("again", 2, "retry", at(10), None), ("dead", 3, "retry", at(10), None), ("clock", 1, "enqueue", at(11), None)],
+        [("done", 2, "complete", at(10), None), ("clock", 2, "enqueue", at(300), None)],  # a row again, and time goes on
+        [("dead", 2, "claim", at(310), 60), ("dead", 4, "replay", at(310), None), ("clock", 3, "enqueue", at(5000), None)],
+    ]
+    try:
+        for part in parts:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            states = stateful.lease_queue(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 2, keep_seconds=1000, delay="100 seconds")
+            write = lambda df, batch: df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{tmp_path}/out")
+            query = states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+            assert query.awaitTermination(180)
+    finally:
+        spark.conf.unset(key)
+    seen = {}
+    for r in sorted(spark.read.parquet(f"{tmp_path}/out").collect(), key=lambda r: (r.batch, r.seq)):
+        seen.setdefault(r.key, []).append((r.status, r.attempts, r.why))
+    assert seen["lost"] == [("running", 1, "action"), ("pending", 1, "lease_lost")]
+    assert seen["again"] == [("running", 1, "action"), ("waiting", 1, "action"), ("pending", 1, "due")]
+    assert seen["done"] == [("running", 1, "action"), ("completed", 1, "action"), ("complete", 1, "late"), ("forgotten", 1, "kept_long_enough")]
+    assert seen["dead"] == [("running", 2, "action"), ("dead_letter", 2, "action"), ("claim", 2, "late"), ("pending", 0, "action")]
+
+
+def test_hooks_are_accepted_once_for_good(spark, tmp_path):
+    rng, start = random.Random(6), datetime(2024, 1, 1)
+    schema = "provider string, provider_event_id string, event_type string, payload string, received_at timestamp, signature_valid boolean"
+    rows = [("p", f"e{rng.randrange(25)}", "t", str(i), start + timedelta(days=i), rng.random() < 0.8) for i in range(60)]
+    for i in range(3):
+        spark.createDataFrame(rows[20 * i : 20 * i + 20], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        assert webhooks.accept_for_good(stream, f"{tmp_path}/out", f"{tmp_path}/ck", 4).awaitTermination(180)
+    got = spark.read.parquet(f"{tmp_path}/out/accepted")
+    first = {}
+    for r in rows:
+        if r[5]:
+            first.setdefault(r[1], r[3])
+    assert {r.provider_event_id: r.payload for r in got.collect()} == first and got.count() == len(first)
+    webhooks.accept_batch(spark.createDataFrame(rows[40:], schema), 2, f"{tmp_path}/out", 4)  # the last batch again
+    assert spark.read.parquet(f"{tmp_path}/out/accepted").count() == len(first)
 
 
 def test_feed_stream_equals_fold(spark, tmp_path):
