@@ -191,14 +191,36 @@ def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
 def _joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """left with what right has for its key; right has one row a key, with ``c``, the key's rows in left.
 
-    Keys with more than one row in 2,000 of left are met where its rows lie: there can't be more than 2,000 of them.
+    Keys with more than one row in 2,000 of left are met where its rows lie: there can't be more than 2,000 of them. Both
+    sides are split by one test of the key.
     """
     most = left.count() // HOT_SHARE + 1
-    hot = right.where(F.col("c") > most)
-    if hot.isEmpty():
+    name = F.xxhash64(*on)
+    hot = [r[0] for r in right.where(F.col("c") > most).select(name).distinct().collect()]
+    if not hot:
         return left.join(right, on)
-    met = left.join(F.broadcast(hot), on)
-    return met.unionByName(left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right.where(F.col("c") <= most), on))
+    is_hot = name.isin(hot)
+    return left.where(is_hot).join(F.broadcast(right.where(is_hot)), on).unionByName(left.where(~is_hot).join(right.where(~is_hot), on))
+
+
+_SPANS = "array<struct<at:long,n:long>>"
+
+
+def _span(at: Column, n: Column) -> Column:
+    return F.array(F.struct(at.cast("long").alias("at"), n.cast("long").alias("n"))).cast(_SPANS)
+
+
+def _united(spans: Column) -> Column:
+    """Runs of windows in order, those that overlap or touch as one."""
+    end = lambda s: s["at"] + s["n"]
+    longer = lambda last, s: F.struct(last["at"].alias("at"), (F.greatest(end(last), end(s)) - last["at"]).alias("n"))
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joins = F.coalesce(s["at"] <= end(last), F.lit(False))
+        return F.when(joins, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer(last, s)))).otherwise(F.array_append(done, s))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(_SPANS), add)
 
 
 def _slot(ref: Column) -> Column:
@@ -267,16 +289,16 @@ def _ordered(bodies: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_windows(sources: DataFrame, length: int = LENGTH, most: int = MOST_SEGMENTS, deal: int = 0) -> DataFrame:
-    """ref, at, n: n windows from byte ``at`` that start at other places, too, for sources (ref, body).
+    """ref, spans: runs of n windows from byte ``at`` that start at other places, too, for sources (ref, body).
 
-    Rows with one ref and one body count as two texts, and both are met by what is found for the ref.
+    A ref may have several rows. Rows with one ref and one body count as two texts, and both are met by what is found for the ref.
     """
     spark, folder = sources.sparkSession, scratch(sources.sparkSession, f"repeats{deal}")
     dealt = _written(_deal(sources, length, deal), folder, "dealt")
     keys = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), ((F.min("a") != F.max("a")) | (F.min("b") != F.max("b")) | F.max("twin")).alias("several"))
     keys = _written(keys.where("c > 1 or several"), folder, "keys")
     again = _written(_joined(dealt.drop("twin"), keys, ["key"]).drop("c"), folder, "again")
-    whole = again.where("not several").select("ref", "at", "n")
+    whole = again.where("not several").select("ref", _span(F.col("at"), F.col("n")).alias("spans"))
     if not keys.where("several").limit(1).count():
         return whole
 
@@ -297,12 +319,12 @@ def repeated_windows(sources: DataFrame, length: int = LENGTH, most: int = MOST_
     hot = bodies.where("hot")
     if not hot.isEmpty():
         anew = repeated_windows(hot.dropDuplicates(_SEGMENT).select(F.struct(*_SEGMENT).alias("ref"), "body"), length, most, deal + 1)
-        found = found.unionByName(anew.groupBy("ref").agg(F.collect_list(F.struct("at", "n")).alias("found")).select("ref.*", "found"))
-    copies = texts.where("times > 1").select(*_SEGMENT, F.array(F.struct(F.lit(0).cast("long").alias("at"), F.col("first.n").alias("n"))).alias("found"))
-    found = found.unionByName(copies).groupBy(*_SEGMENT).agg(F.flatten(F.collect_list("found")).alias("found"))
+        found = found.unionByName(anew.select("ref.*", F.col("spans").alias("found")))
+    copies = texts.where("times > 1").select(*_SEGMENT, _span(F.lit(0), F.col("first.n")).alias("found"))
+    found = found.unionByName(copies).groupBy(*_SEGMENT).agg(_united(F.flatten(F.collect_list("found"))).alias("found"))
     found = _written(found.join(texts.select(*_SEGMENT, F.col("times").alias("c")), _SEGMENT), folder, "found")
-    back = _joined(mixed, found, _SEGMENT).select("ref", "at", F.explode("found").alias("f"))
-    return whole.unionByName(back.select("ref", (F.col("at") + F.col("f.at")).alias("at"), F.col("f.n").alias("n")))
+    moved = F.transform("found", lambda f: F.struct((F.col("at") + f["at"]).alias("at"), f["n"].alias("n")))
+    return whole.unionByName(_joined(mixed, found, _SEGMENT).select("ref", moved.cast(_SPANS).alias("spans")))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_SEGMENTS) -> DataFrame:
@@ -323,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_SEGME
     texts = integral(docs).select("doc_id", body.alias("body"), ref.alias("ref"))
     folder = scratch(docs.sparkSession, "spans")
     spans = repeated_windows(texts.select("ref", "body"), length, most)
-    spans = _written(spans.groupBy("ref").agg(F.collect_set(F.struct("at", "n")).alias("spans")), folder, "spans")
+    spans = _written(spans.groupBy("ref").agg(_united(F.flatten(F.collect_list("spans"))).alias("spans")), folder, "spans")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
