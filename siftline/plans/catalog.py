@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return register
 
 
-from siftline.plans import queries_aggregate, queries_fields, queries_flows, queries_intake, queries_joins, queries_pick, queries_scalar, queries_stages, queries_state  # noqa: E402, F401
+from siftline.plans import queries_aggregate, queries_fields, queries_flows, queries_intake, queries_joins, queries_pick, queries_scalar, queries_stages, queries_state, queries_stored  # noqa: E402, F401

@@ -37,7 +37,6 @@ def _parts(struct: Column, *names: str) -> Column:
 cases("company_domains", "P10", [("HTTP://WWW.Shop{n}.com/x", "www.shop{n}.com"), ("Shop{n}.com ", "shop{n}.com"), ("", ""), (None, ""), ("ftp://a.b", "")], urls.normalized_domain)
 cases("linkedin_urls", "P12", [("https://uk.linkedin.com/in/p-{n}/", "https://www.linkedin.com/in/p-{n}"), ("https://linkedin.com/company/c{n}", ""), ("https://linkedin.com.evil.net/in/p{n}", ""), (None, ""), ("http://www.linkedin.com/in/P{n}?a=b", "https://www.linkedin.com/in/P{n}")], urls.normalize_linkedin)
 cases("page_texts", "P19", [("<div><script>var a={n};</script>A &amp; B{n}<br>c</div>", "A & B{n} c"), ("<style>x</style>  x{n} &lt;y&gt; ", "x{n} <y>"), (None, ""), ("plain {n}", "plain {n}")], text.html_text)
-cases("main_texts", "P20: the article of a page, null where it is short", [("<body><nav>menu</nav><article><p>" + "word{n} " * 60 + "</p></article></body>", ("word{n} " * 60).strip()), ("<article>short {n}</article>", None), ("<main>" + "m{n} " * 90 + "</main>", ("m{n} " * 90).strip()), (None, None)], text.main_text)
 cases(
     "people_in_lists", "P25: name, title, mailbox and whether it is verified of the people in numbered lists",
     [

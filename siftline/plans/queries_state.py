@@ -126,12 +126,20 @@ def claim_work(spark, sf):
     return queue.claim(items, F.lit("2024-01-15 00:00:00").cast("timestamp"), "worker", 15, 300).select("id", "status", "attempt_count")
 
 
-@query(f"""WITH r AS (SELECT user_id, arg_max(event_type, ({_SEQ})) AS last, count(*) FILTER (WHERE event_type = 'click') AS starts, count(*) FILTER (WHERE event_type = 'view') AS defers FROM events GROUP BY user_id)
-SELECT user_id, CASE last WHEN 'click' THEN 'running' WHEN 'error' THEN CASE WHEN starts - defers >= 8 THEN 'dead_letter' ELSE 'pending' END WHEN 'view' THEN 'pending' WHEN 'purchase' THEN 'completed' ELSE 'pending' END AS status FROM r""")
+_ACTION = "CASE WHEN event_type IN ('click', 'signup') THEN 'claim' WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'replay' WHEN event_type IN ('error', 'purchase') THEN 'retry' ELSE CASE event_id % 4 WHEN 0 THEN 'complete' WHEN 1 THEN 'enqueue' ELSE 'defer' END END"
+
+
+@query(f"""WITH RECURSIVE a AS (SELECT user_id, {_ACTION} AS action, row_number() OVER (PARTITION BY user_id ORDER BY {_SEQ}) AS n FROM events),
+w AS (SELECT user_id, 0::BIGINT AS n, 'pending' AS status, 0::BIGINT AS attempts FROM (SELECT DISTINCT user_id FROM a)
+UNION ALL SELECT a.user_id, a.n, CASE action WHEN 'claim' THEN 'running' WHEN 'complete' THEN 'completed' WHEN 'retry' THEN CASE WHEN attempts >= 3 THEN 'dead_letter' ELSE 'pending' END
+  WHEN 'replay' THEN CASE WHEN status = 'dead_letter' THEN 'pending' ELSE status END ELSE 'pending' END,
+  CASE action WHEN 'claim' THEN attempts + 1 WHEN 'defer' THEN greatest(0, attempts - 1) WHEN 'replay' THEN CASE WHEN status = 'dead_letter' THEN 0 ELSE attempts END ELSE attempts END
+  FROM w JOIN a ON a.user_id = w.user_id AND a.n = w.n + 1)
+SELECT user_id, status, attempts FROM w QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC) = 1""")
 def queue_states(spark, sf):
-    """The state of each work item after its log of claims, retries, deferrals and completions."""
-    action = F.when(F.col("event_type") == "click", "claim").when(F.col("event_type") == "error", "retry").when(F.col("event_type") == "view", "defer").when(F.col("event_type") == "purchase", "complete").otherwise("enqueue")
-    return queue.fold_actions(log(spark, sf).select(F.col("user_id").alias("key"), "seq", action.alias("action")), 8).select(F.col("key").alias("user_id"), "status")
+    """Each work item after its log of claims, retries, deferrals, completions and replays, against the log step by step."""
+    rows = log(spark, sf).select(F.col("user_id").alias("key"), "seq", F.expr(_ACTION).alias("action"))
+    return queue.fold_actions(rows, 3).select(F.col("key").alias("user_id"), "status", "attempts")
 
 
 @query(f"""WITH g AS (SELECT user_id, event_type = 'error' AS bad, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY {_SEQ}) - row_number() OVER (PARTITION BY user_id, event_type = 'error' ORDER BY {_SEQ}) AS grp FROM events),

@@ -6,9 +6,9 @@ one of several counts, and every cap are column expressions and windows on top.
 
 from __future__ import annotations
 
-import gzip
 import json
 import xml.etree.ElementTree as ET
+import zlib
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -28,6 +28,8 @@ FEED_TYPES = ("application/rss+xml", "application/atom+xml", "application/feed+j
 # Names under which pages state their date.
 DATE_NAMES = ("article:published_time", "date", "datepublished", "dc.date", "parsely-pub-date", "pubdate", "publishdate", "sailthru.date")
 JSON_DATE_NAMES = ("datepublished", "datecreated", "uploaddate")
+#: Bytes read at once, of one entry (or one JSON listing), and of one unpacked listing; rows handed on at once.
+CHUNK, MOST_ENTRY, MOST_UNPACKED, ROWS = 1 << 16, 16 << 20, 1 << 30, 10_000
 _LINKS = "kind string, role string, pos int, link string, title string, published string"
 
 
@@ -110,77 +112,179 @@ def _text(node: ET.Element, *names: str) -> str:
     return ""
 
 
-def listing_links(content: bytes) -> list[tuple[str, str, str, str, str]] | None:
-    """(kind, role, link, title, published) of a listing in document order; None for a page or anything else."""
-    if content[:2] == b"\x1f\x8b":
-        try:
-            content = gzip.decompress(content)
-        except (OSError, EOFError):
-            return None
-    start = content.lstrip()[:1]
-    if start in (b"[", b"{"):
-        try:
-            value = json.loads(content)
-        except ValueError:
-            return None
-        posts = isinstance(value, list)
-        rows = value if posts else value.get("items")
-        if not isinstance(rows, list):
-            return None
-        out = []
-        for row in rows:
-            if not isinstance(row, dict):
-                continue
-            title = row.get("title") or ""
-            title = (title.get("rendered") or title.get("raw") or "") if isinstance(title, dict) else title
-            link = row.get("link") if posts else row.get("url") or row.get("external_url")
-            date = (row.get("date_gmt") or row.get("date")) if posts else row.get("date_published")
-            out.append(("wordpress" if posts else "json-feed", "entry", str(link or ""), str(title), str(date or "")))
-        return out
-    if start != b"<":
+class TooLarge(ValueError):
+    """A listing that unpacks to more than is taken, or has a single entry of more than is held."""
+
+
+def _unpacked(content: bytes) -> Iterator[bytes]:
+    """The content in chunks, gzip members unpacked one after the other; ValueError where they are broken."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[i : i + CHUNK] for i in range(0, len(content), CHUNK))
+        return
+    total, rest = 0, content
+    while rest[:2] == b"\x1f\x8b":
+        unpack = zlib.decompressobj(31)
+        while not unpack.eof:
+            try:
+                out = unpack.decompress(rest, CHUNK)
+            except zlib.error as e:
+                raise ValueError("broken gzip") from e
+            if not out and not unpack.eof:
+                raise ValueError("cut gzip")
+            rest, total = unpack.unconsumed_tail, total + len(out)
+            if total > MOST_UNPACKED:
+                raise TooLarge
+            yield out
+        rest = unpack.unused_data
+
+
+def _xml_rows(chunks: Iterator[bytes]) -> Iterator[tuple[str, str, str, str, str]]:
+    """The rows of an XML listing as they are read: an element is let go of once it has ended."""
+    parser = ET.XMLPullParser(("start", "end"))
+    kind, inside, held = "", [], 0
+
+    def events() -> Iterator:
+        nonlocal held
+        for chunk in chunks:
+            held += len(chunk)
+            if held > MOST_ENTRY:
+                raise TooLarge
+            parser.feed(chunk)
+            yield from parser.read_events()
+        parser.close()
+        yield from parser.read_events()
+
+    for event, node in events():
+        if event == "start":
+            kind = kind or _local(node.tag)
+            if kind not in ("sitemapindex", "urlset", "rss", "feed", "rdf"):
+                raise ValueError("not a listing")
+            inside.append(node)
+            continue
+        inside.pop()
+        if kind == "sitemapindex" and len(inside) == 1:
+            yield kind, "child", _text(node, "loc"), "", ""
+        elif kind == "urlset" and len(inside) == 1:  # lastmod isn't when something was published
+            yield kind, "entry", _text(node, "loc"), _text(node, "title"), _text(node, "publication_date")
+        elif kind in ("rss", "feed", "rdf") and _local(node.tag) in ("item", "entry"):
+            href = next((n.get("href") for n in node.iter() if _local(n.tag) == "link" and n.get("href") and n.get("rel", "alternate") == "alternate"), "")
+            yield "feed", "entry", _text(node, "link") or href, _text(node, "title"), _text(node, "pubdate", "published", "date", "updated")
+        else:
+            continue
+        held = 0
+        if inside:
+            inside[-1].remove(node)
+
+
+def _json_rows(content: bytes) -> list[tuple[str, str, str, str, str]] | None:
+    try:
+        value = json.loads(content)
+    except ValueError:
+        return None
+    posts = isinstance(value, list)
+    rows = value if posts else value.get("items")
+    if not isinstance(rows, list):
         return None
+    out = []
+    for row in rows:
+        if not isinstance(row, dict):
+            continue
+        title = row.get("title") or ""
+        title = (title.get("rendered") or title.get("raw") or "") if isinstance(title, dict) else title
+        link = row.get("link") if posts else row.get("url") or row.get("external_url")
+        date = (row.get("date_gmt") or row.get("date")) if posts else row.get("date_published")
+        out.append(("wordpress" if posts else "json-feed", "entry", str(link or ""), str(title), str(date or "")))
+    return out
+
+
+def listing_rows(content: bytes) -> Iterator[tuple[str, str, str, str, str]] | None:
+    """(kind, role, link, title, published) of a listing in document order; None for a page or anything else.
+
+    XML is read twice, in chunks: once to see that it is whole, then for its rows; of it, one entry is held at a time. JSON is
+    held whole, up to MOST_ENTRY bytes. TooLarge for what goes beyond that, or unpacks to more than MOST_UNPACKED.
+    """
     try:
-        root = ET.fromstring(content)
-    except ET.ParseError:
+        head = next((chunk.lstrip() for chunk in _unpacked(content) if chunk.strip()), b"")[:1]
+        if head in (b"[", b"{"):
+            whole = b""
+            for chunk in _unpacked(content):
+                whole += chunk
+                if len(whole) > MOST_ENTRY:
+                    raise TooLarge
+            rows = _json_rows(whole)
+            return None if rows is None else iter(rows)
+        if head != b"<":
+            return None
+        for _ in _xml_rows(_stripped(content)):
+            pass
+    except TooLarge:
+        raise
+    except (ValueError, ET.ParseError):
         return None
-    name = _local(root.tag)
-    if name == "sitemapindex":
-        return [(name, "child", _text(n, "loc"), "", "") for n in root]
-    if name == "urlset":  # lastmod isn't when something was published
-        return [(name, "entry", _text(n, "loc"), _text(n, "title"), _text(n, "publication_date")) for n in root]
-    if name in ("rss", "feed", "rdf"):
-        out = []
-        for item in (n for n in root.iter() if _local(n.tag) in ("item", "entry")):
-            href = next((n.get("href") for n in item.iter() if _local(n.tag) == "link" and n.get("href") and n.get("rel", "alternate") == "alternate"), "")
-            out.append(("feed", "entry", _text(item, "link") or href, _text(item, "title"), _text(item, "pubdate", "published", "date", "updated")))
-        return out
-    return None
+    return _xml_rows(_stripped(content))
+
+
+def _stripped(content: bytes) -> Iterator[bytes]:
+    """As unpacked, without white space at the beginning, which XML doesn't allow before its declaration."""
+    begun = False
+    for chunk in _unpacked(content):
+        chunk = chunk if begun else chunk.lstrip()
+        begun = begun or bool(chunk)
+        if chunk:
+            yield chunk
+
+
+def listing_links(content: bytes) -> list[tuple[str, str, str, str, str]] | None:
+    """``listing_rows`` as a list."""
+    rows = listing_rows(content)
+    return None if rows is None else list(rows)
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
     """Per page (source_id, source_url, url, content) its raw links: kind, role, pos, link, title, published.
 
     kind is html for pages; role is entry, child (of a sitemap index) or feed. Content may be text or bytes, also gzip.
-    A page without links gives one row with a null link, so that it is known to have been read.
+    A page without links gives one row with a null link, so that it is known to have been read; a listing that is too
+    large gives one of kind error and role too_large. A listing's rows leave as they are read, so a page of any
+    number of entries is never held.
     """
     schema = f"source_id string, source_url string, url string, {_LINKS}"
 
+    columns = ["source_id", "source_url", "url", "kind", "role", "pos", "link", "title", "published"]
+
+    def found(content: bytes) -> Iterator[tuple]:
+        try:
+            rows = listing_rows(content)
+        except TooLarge:
+            yield "error", "too_large", None, "", ""
+            return
+        if rows is not None:
+            empty = True
+            for row in rows:
+                empty = False
+                yield row
+            if empty:
+                yield "html", "none", None, "", ""
+            return
+        page = _Page(content.decode("utf-8", "replace"))
+        links = [("html", "entry", h, t, "") for h, t in page.anchors] + [("html", "feed", h, "", "") for h in page.feeds]
+        yield from links or [("html", "none", None, "", "")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for batch in batches:
-            out = []
             for row in batch.itertuples(index=False):
                 content = row.content if isinstance(row.content, bytes) else str(row.content or "").encode()
-                found = listing_links(content)
-                if found is None:
-                    page = _Page(content.decode("utf-8", "replace"))
-                    found = [("html", "entry", h, t, "") for h, t in page.anchors] + [("html", "feed", h, "", "") for h in page.feeds]
-                for pos, (kind, role, link, title, published) in enumerate(found or [("html", "none", None, "", "")]):
+                for pos, (kind, role, link, title, published) in enumerate(found(content)):
                     try:
                         link = urljoin(row.url, link) if link else link
                     except ValueError:
                         pass
                     out.append((row.source_id, row.source_url, row.url, kind, role, pos, link, title, published))
-            yield pd.DataFrame(out, columns=["source_id", "source_url", "url", "kind", "role", "pos", "link", "title", "published"])
+                    if len(out) == ROWS:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+        yield pd.DataFrame(out, columns=columns)
 
     rows = pages.select(F.col("source_id").cast("string"), "source_url", "url", "content")
     return rows.mapInPandas(run, schema)
@@ -239,7 +343,8 @@ def crawl(
     partitions outside ``since`` to ``until`` by their own url, what ``scope`` (source_url, url) says no to, and anything
     deeper than ``most_depth``. Of the entries taken, each url's first counts, unless its stated date lies outside.
     Errors are direct_listing_document_cap_reached where the search ended with documents still waiting, and
-    direct_listing_item_cap_reached where it left items of a document, or documents that may have some. A source that is listed twice is one.
+    direct_listing_item_cap_reached where it left items of a document, or documents that may have some; fetch_failed for documents
+    that no page answers for, and listing_too_large. A source that is listed twice is one.
     """
     frontier = sources.groupBy(F.col("source_id").cast("string").alias("source_id")).agg(F.min("source_url").alias("source_url"))
     frontier = frontier.withColumns({"doc": canonicalize_url("source_url"), "order": F.lit("")})
@@ -258,9 +363,10 @@ def crawl(
         got = open_.join(pages.select(F.col("url").alias("doc"), "content"), "doc", "left").withColumn("there", F.col("content").isNotNull())
         got = cut(got)
         links = raw_links(got.where("there").select("source_id", "source_url", F.col("doc").alias("url"), "content"))
-        links = cut(links.where("role in ('entry', 'child') and kind <> 'html'"))
+        links = cut(links.where("role in ('entry', 'child', 'too_large') and kind <> 'html'"))
+        huge = links.where("role = 'too_large'").select("source_id", "url", F.lit("listing_too_large").alias("error"))
         good = cut(listing_entries(links, most_items)[0].select("source_id", F.col("url").alias("doc"), "role", "pos", "canonical_url", "title", "published_at"))
-        said = links.groupBy("source_id", F.col("url").alias("doc")).agg(F.count(F.lit(1)).alias("said"))
+        said = links.where("role <> 'too_large'").groupBy("source_id", F.col("url").alias("doc")).agg(F.count(F.lit(1)).alias("said"))
 
         # Entries before a document, in the order of its source: from where the source has enough, documents stay shut.
         counts = good.where("role = 'entry'").groupBy("source_id", "doc").agg(F.count(F.lit(1)).alias("n"))
@@ -284,7 +390,7 @@ def crawl(
         stopped = after.select("source_id", "items", "_left_out").join(behind.withColumn("_behind", F.lit(True)), "source_id", "left")
         error = F.array_compact(F.array(F.when(F.col("_behind"), "direct_listing_document_cap_reached"), F.when(F.coalesce("_left_out", F.lit(False)) | (F.col("_behind") & (F.col("items") <= 0)), "direct_listing_item_cap_reached")))
         gone = level.where("not there").select("source_id", F.col("doc").alias("url"), F.lit("fetch_failed").alias("error"))
-        gone = gone.unionByName(stopped.select("source_id", F.lit(None).cast("string").alias("url"), F.explode(error).alias("error")))
+        gone = gone.unionByName(huge).unionByName(stopped.select("source_id", F.lit(None).cast("string").alias("url"), F.explode(error).alias("error")))
 
         now = level.select("source_id", "doc")
         seen = now if seen is None else seen.unionByName(now)

@@ -5,6 +5,7 @@ import hashlib
 import hmac
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,96 @@ def test_crawl_equals_one_document_after_the_other(spark, seed):
             assert {(r.url, r.error) for r in errors if r.source_id == source} == wrong
 
 
+def test_large_listings_are_read_in_bounded_memory(spark):
+    import tracemalloc
+
+    entry = b"<url><loc>https://x.com/p%07d</loc><title>t</title></url>"
+    body = b"<urlset>" + b"".join(entry % i for i in range(300_000)) + b"</urlset>"
+    packed = gzip.compress(body, 1)
+    tracemalloc.start()
+    n = sum(1 for _ in listings.listing_rows(packed))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 300_000 and len(body) > 15e6 and most < 4e6
+    assert listings.listing_links(gzip.compress(b"  <rss><channel>") + gzip.compress(b"<item><link>https://x.com/a</link></item></channel></rss>")) == [("feed", "entry", "https://x.com/a", "", "")]
+    assert listings.listing_links(packed[: len(packed) // 2]) is None and listings.listing_links(body[:-9]) is None
+    bomb = gzip.compress(b"<urlset><url><loc>" + b"a" * (20 << 20), 9)
+    with pytest.raises(listings.TooLarge):
+        listings.listing_rows(bomb)
+    pages = spark.createDataFrame([("s", "https://x.com/", "https://x.com/b.xml", bytearray(bomb)), ("s", "https://x.com/", "https://x.com/c.xml", bytearray(b"<urlset></urlset>"))], "source_id string, source_url string, url string, content binary")
+    assert sorted((r.kind, r.role, r.link) for r in listings.raw_links(pages).collect()) == [("error", "too_large", None), ("html", "none", None)]
+    sources = spark.createDataFrame([("s", "https://x.com/b.xml")], "source_id string, source_url string")
+    found, errors = listings.crawl(sources, pages.select("url", "content"))
+    assert found.count() == 0 and [r.error for r in errors.collect()] == ["listing_too_large"]
+
+
+def test_main_texts_are_the_articles(spark):
+    """Over all pages: nearly all of the planted article, and hardly anything else; and equal to the rule spelt out."""
+    import html as entities
+    import re
+
+    from siftline.functions import text
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html", text.main_text("html", 1, 10**6).alias("main"))
+    recall = precision = n = 0
+    for r in pages.collect():
+        article = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>", " ", re.search(r"(?is)<article[^>]*>(.*)</article>", r.html)[1])
+        want = entities.unescape(re.sub("<[^>]+>", " ", article)).split()
+        got = (r.main or "").split()
+        common = sum((Counter(want) & Counter(got)).values())
+        recall, precision, n = recall + common / len(want), precision + (common / len(got) if got else 1), n + 1
+    assert n == 250 and recall / n > 0.95 and precision / n > 0.97
+    rows = ["<body><ul>" + "<li><a href=x>a menu entry that is long enough to count as text on its own</a>" * 5 + "</ul><p>" + "word " * 60 + "<p>short<p>" + "more " * 40 + "<div>bit</div>", "<p>" + "y " * 50, None, ""]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "c string").select(text.main_text("c")).collect()]
+    assert got == [("word " * 60 + "short " + "more " * 40).strip(), None, None, None]
+
+
+def _saved(folder, group, pages, size):
+    for n, count in enumerate(pages, 1):
+        path = folder / f"group={group}" / f"page={n}"
+        path.mkdir(parents=True, exist_ok=True)
+        (path / "part-0.txt").write_text("".join(f"{group}-{n}-{i}\n" for i in range(count)))
+
+
+def test_saved_pages_end_by_their_rules(spark, tmp_path):
+    from siftline.sources.paged import SavedPages
+
+    spark.dataSource.register(SavedPages)
+    _saved(tmp_path, "short", [3, 3, 2, 3], 3)  # the third is short, so the fourth isn't read
+    _saved(tmp_path, "full", [3, 3], 3)
+    _saved(tmp_path, "none", [0, 3], 3)
+    _saved(tmp_path, "long%20name", [3] * 8, 3)
+    read = lambda **o: spark.read.format("saved_pages").options(page_size=3, **o).load(f"file://{tmp_path}")
+    counts = {r.group: r["count"] for r in read().groupBy("group").count().collect()}
+    assert counts == {"short": 8, "full": 6, "long name": 24} and read().rdd.getNumPartitions() == 4
+    assert {r.group: r["count"] for r in read(most_pages=1).groupBy("group").count().collect()} == {"short": 3, "full": 3, "long name": 3}
+    assert [(r.page, r.pos, r.record) for r in read().where("group = 'full'").orderBy("page", "pos").collect()][3] == (2, 0, "full-2-0")
+    assert spark.read.format("saved_pages").load(f"{tmp_path}/nothing").count() == 0
+
+
+def test_saved_pages_stream_goes_on_from_its_offset(spark, tmp_path):
+    from siftline.sources.paged import SavedPages
+
+    spark.dataSource.register(SavedPages)
+
+    def step():
+        stream = spark.readStream.format("saved_pages").options(page_size=2).load(f"{tmp_path}/in")
+        write = lambda df, batch: df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{tmp_path}/out")
+        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/ck").trigger(once=True).start()
+        assert query.awaitTermination(120)
+
+    _saved(tmp_path / "in", "a", [2, 2], 2)
+    _saved(tmp_path / "in", "b", [1], 2)
+    step()
+    _saved(tmp_path / "in", "a", [2, 2, 2], 2)
+    _saved(tmp_path / "in", "b", [1, 2], 2)  # b had ended
+    _saved(tmp_path / "in", "c", [2], 2)
+    step()
+    step()
+    got = sorted((r.group, r.page, r.pos) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [("a", 1, 0), ("a", 1, 1), ("a", 2, 0), ("a", 2, 1), ("a", 3, 0), ("a", 3, 1), ("b", 1, 0), ("c", 1, 0), ("c", 1, 1)]
+
+
 def test_publication_dates(spark):
     rows = [("https://x.com/2024/05/06/t", "<p>"), ("https://x.com/a", "<meta property='article:published_time' content='2024-01-02T03:04:05Z'>"), ("https://x.com/b", '<script type="application/ld+json">{"@graph": [{"x": {"datePublished": "2023-02-03"}}]}</script>'), ("https://x.com/c", "<time datetime='junk'>")]
     got = {r.url[-1]: str(r.published_at) for r in listings.publication_dates(spark.createDataFrame(rows, "url string, content string")).collect()}
