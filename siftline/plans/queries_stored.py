@@ -13,6 +13,7 @@ from siftline.operators.order import shared_folder
 from siftline.operators.snapshot import Snapshot
 from siftline.plans.catalog import query
 from siftline.plans.domain import log, pages
+from siftline.plans.queries_fields import _plain
 from siftline.session import table
 from siftline.sources.paged import SavedPages
 from siftline.streaming import webhooks
@@ -121,13 +122,6 @@ def event_evidence(spark, sf):
     return out.select("user_id", "run", F.array_join(F.transform("evidence", lambda p: F.concat_ws("=", p["url"], p["said"].cast("string"))), ",").alias("evidence"))
 
 
-def _plain(c: str) -> str:
-    out = f"regexp_replace({c}, '(?s)<[^>]+>', ' ', 'g')"
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{sign}')"
-    return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
-
-
 _OUT = "|".join([r"(?is)<!--.*?-->", *(rf"<{t}\b.*?</{t}\s*>" for t in text.NO_ARTICLE), *(rf"<{t}\b[^>]*\b(?:class|id)\s*=\s*[\"'']?[^\"''>]*\b(?:{'|'.join(text.BESIDE)})\b[^>]*>.*?</{t}\s*>" for t in ("div", "section", "p", "ul", "span"))])
 
 
