@@ -79,6 +79,20 @@ def components(edges: DataFrame) -> DataFrame:
     return labels(pairs, after_round=lambda: sweep(edges.sparkSession))
 
 
+#: Slots of the set of keys that ``asked`` sends to all tasks: at most so many numbers, however many keys there are.
+SLOTS = 1 << 20
+
+
+def asked(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows that may have a partner in keys, or surely have none (left_anti), told where they lie by slots of their key.
+
+    What has surely none need not be shuffled for a join. The more keys there are the more slots are taken, up to all.
+    """
+    slot = lambda df: F.pmod(F.xxhash64(*[df[c] for c in on]), F.lit(SLOTS))
+    taken = keys.select(slot(keys).alias("_slot")).distinct()
+    return rows.join(F.broadcast(taken), slot(rows) == F.col("_slot"), how)
+
+
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """run, after which the worker gives the memory that it no longer uses back to the machine.
 

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm.common import ASCII_SPACE, ascii_lower, integral, scratch
+from siftline.llm.common import ASCII_SPACE, ascii_lower, asked, integral, scratch
 
 MIN_KEY = 10
 #: A null doc_id comes after every other.
@@ -151,15 +151,20 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2, min_key: int
         runs.close()
 
     gone = spark.read.schema("doc_id long, tag long, pos int").parquet(*[f"{folder}/dropped/{i}" for i in range(number)])
-    gone = gone.groupBy(F.col("doc_id").alias("id"), "tag").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    gone.groupBy(F.col("doc_id").alias("id"), "tag").agg(F.sort_array(F.collect_set("pos")).alias("gone")).write.parquet(f"{folder}/gone")
+    gone = spark.read.schema("id long, tag long, gone array<int>").parquet(f"{folder}/gone")
     lines = F.split("text", "\n")
     n_gone = F.coalesce(F.size("gone"), F.lit(0))
     # The lines between two dropped ones, for each gap: as many steps as the document has lines.
     gaps = F.expr("transform(sequence(0, size(gone)), i -> slice(lines, if(i = 0, 0, gone[i - 1] + 1) + 1, if(i = size(gone), size(lines), gone[i]) - if(i = 0, 0, gone[i - 1] + 1)))")
-    out = texts.join(gone, ["id", "tag"], "left").withColumn("lines", lines)
-    return out.select(
+    # Texts that lose nothing stay where they are; of the others few can be told apart from those only by the join.
+    none = F.lit(0).cast("long").alias("n_dropped")
+    whole = asked(texts, gone, ["id", "tag"], "left_anti").select("doc_id", "text", F.size(lines).cast("long").alias("n_lines"), none)
+    out = asked(texts, gone, ["id", "tag"]).join(gone, ["id", "tag"], "left").withColumn("lines", lines)
+    left = out.select(
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(gaps), "\n")).alias("text"),
         F.size("lines").cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), F.lit(0)).otherwise(n_gone).cast("long").alias("n_dropped"),
     )
+    return whole.unionByName(left)

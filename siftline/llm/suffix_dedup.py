@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import frugal, integral, map_rows, scratch, slices
+from siftline.llm.common import asked, frugal, integral, map_rows, scratch, slices
 from siftline.llm.lyndon import suffix_order
 
 LENGTH = 400
@@ -32,8 +32,6 @@ MOST_SEGMENTS = 64
 DEALS = 2
 #: Bytes of segments ordered at once, and of text hashed at once.
 BATCH, PIECE = 1 << 18, 1 << 18
-#: Slots of the set of rows that a join asks for: what is sent to all tasks is at most so many numbers.
-SLOTS = 1 << 20
 #: A key with more than one row in so many is hot, so there are at most so many hot keys.
 HOT_SHARE = 2000
 LAST_ID = 2**63 - 1
@@ -223,15 +221,6 @@ def _united(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), F.array().cast(_SPANS), add)
 
 
-def _slot(ref: Column) -> Column:
-    return F.pmod(F.xxhash64(ref), F.lit(SLOTS))
-
-
-def _asked(left: DataFrame, right: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of left that may have a partner in right, or surely have none (left_anti), by slots of their ref."""
-    return left.join(F.broadcast(right.select(_slot(F.col("ref")).alias("_slot")).distinct()), _slot(left["ref"]) == F.col("_slot"), how)
-
-
 def _deal(sources: DataFrame, length: int, deal: int) -> DataFrame:
     """ref, at, n, key, a, b, twin of the segments of sources (ref, body)."""
     schema = sources.select("ref").schema
@@ -310,7 +299,7 @@ def repeated_windows(sources: DataFrame, length: int = LENGTH, most: int = MOST_
     wanted = _written(wanted.groupBy("ref").agg(F.collect_list("s").alias("wanted")), folder, "wanted")
     part = lambda s: F.substring(F.col("body"), (s["at"] + 1).cast("int"), (s["n"] + length - 1).cast("int"))
     cut = F.transform("wanted", lambda s: F.struct(*[s[c].alias(c) for c in (*_SEGMENT, "hot")], part(s).alias("body")))
-    bodies = _asked(sources.select("ref", "body"), wanted).join(wanted, "ref").select(F.explode(cut).alias("s")).select("s.*")
+    bodies = asked(sources.select("ref", "body"), wanted, ["ref"]).join(wanted, "ref").select(F.explode(cut).alias("s")).select("s.*")
     bodies = _written(bodies, folder, "bodies")
 
     size = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -363,8 +352,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_SEGME
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    some = _asked(texts, spans).join(spans, "ref", "left").select("doc_id", "body", "spans")
+    some = asked(texts, spans, ["ref"]).join(spans, "ref", "left").select("doc_id", "body", "spans")
     made = map_rows(some, f"doc_id {kind}, kept binary, n_bytes long, n_removed long, n_spans long", each)
     none = F.lit(0).cast("long")
-    rest = _asked(texts, spans, "left_anti").select("doc_id", F.col("body").alias("kept"), F.octet_length("body").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"))
+    rest = asked(texts, spans, ["ref"], "left_anti").select("doc_id", F.col("body").alias("kept"), F.octet_length("body").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"))
     return made.unionByName(rest)
