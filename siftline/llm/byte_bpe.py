@@ -104,6 +104,10 @@ def piece_starts(points: np.ndarray) -> np.ndarray:
     return out.T.reshape(-1)[:n]
 
 
+#: The pattern that the automaton splits by. A fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class ByteBPE:
     """Encodes by a file of ranks; ``most_cached`` pieces of at most ``_CACHED`` bytes are remembered."""
 
@@ -228,14 +232,17 @@ def encoder(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-def encode(docs: DataFrame, path: str, columns: tuple[str, ...] = ("ids", "offsets")) -> DataFrame:
+def encode(docs: DataFrame, path: str, columns: tuple[str, ...] = ("ids", "offsets"), pattern: str = PATTERN) -> DataFrame:
     """doc_id and the binary ``columns`` asked for, per row of docs.
 
     ids: the tokens as little-endian unsigned 32-bit integers. offsets: where each token starts in the text's UTF-8,
     and its end, packed alike. decoded: the bytes that the ids decode to. Null text is empty and gives no ids and
     the one offset 0. Whole texts are encoded, of any length. Other columns of docs are not read. ``path`` is read by
-    each executor, so it must be a file that all of them have.
+    each executor, so it must be a file that all of them have. ``pattern`` says how its makers split texts: another than
+    PATTERN is an error.
     """
+    if pattern != PATTERN:
+        raise ValueError("texts are split by another pattern than this encoder's")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(path)

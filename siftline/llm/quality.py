@@ -1,7 +1,8 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
 The terms of a text are its byte trigrams, hashed to a fixed number of columns, and one term for a word that repeats
-the word before it. Relative term counts of a bounded sample of labelled texts are factored by a truncated SVD; the
+the word before it. That last one is made by hand: it tells a kind of junk that the test tables have, and other corpora
+may have none of it. Relative term counts of a bounded sample of labelled texts are factored by a truncated SVD; the
 leading directions and the sample's vectors are broadcast. Every text is projected, its cosine with every labelled
 vector is computed exactly, block by block, and the nearest vote with their similarity as weight.
 """

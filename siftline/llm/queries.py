@@ -66,6 +66,9 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         feature.alias("feature"),
+        track["codec"].alias("codec"),
+        track["duration_s"].alias("duration_s"),
+        keys.alias("keyframes"),
     )
 
 
@@ -94,8 +97,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = op10.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), columns=("ids", "decoded"))
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    import public_tokenizers
+
+    out = op10.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), columns=("ids", "offsets", "decoded"), pattern=public_tokenizers.PATTERN)
+    hashes = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("ids", "decoded", "offsets")]
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), *hashes)
 
 
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
