@@ -10,7 +10,9 @@ from siftline.functions.scope import grounded, prescreen
 from siftline.functions.text import normalize_text, text_or_empty
 from siftline.functions.urls import canonicalize_url, host
 from siftline.operators.coverage import id_coverage, judgment_violations, reasons
+from siftline.operators.order import cut
 from siftline.operators.pick import first_per_key, ranked
+from siftline.sources import listings
 
 
 def provider_candidates(records: DataFrame) -> DataFrame:
@@ -287,6 +289,42 @@ def verified_corpus(rows: DataFrame, inventory: DataFrame, run_id: str, transien
     return good, both.where(~same).withColumn("problem", F.when(F.col("_sha").isNull(), "missing").otherwise("hash")).drop("_sha")
 
 
+def reused_corpus(rows: DataFrame, files: DataFrame, sources: DataFrame, since: str, until: str, run_id: str, from_run: str, transient: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidates, coverage, problems) of a saved run's candidates that a new run takes over.
+
+    rows: candidate_id, source_id, canonical_url, published_at, provider, raw_artifact_path, raw_artifact_hash, metadata (map);
+    files: path, content; sources: source_id. Taken are dated candidates of known sources within ``since`` to ``until``, if
+    their file still has its hash or, where it hasn't (pages change), still says its url and its very date of publication.
+    They go under ``run_id``, without ``transient`` metadata, and say where they come from and whether only page and date
+    agreed. coverage: per source its candidates, those of the fallback search, and those left out as undated or outside.
+    problems: candidate_id and why (missing, mismatch); whoever takes a corpus over wants none. A candidate without a saved hash counts by
+    its file being there.
+    """
+    known = rows.join(sources.select("source_id").distinct(), "source_id", "left_semi").withColumn("_day", F.col("published_at").cast("date"))
+    inside = F.col("_day").between(F.lit(since).cast("date"), F.lit(until).cast("date"))
+    there = files.groupBy(F.col("path").alias("raw_artifact_path")).agg(F.first("content").alias("_content"))
+    found = known.where(inside).join(there, "raw_artifact_path", "left")
+    given = F.coalesce("raw_artifact_hash", F.lit(""))
+    found = cut(found.withColumn("_same", (given == "") | (F.sha2("_content", 256) == given)))
+    # Only pages that changed are parsed for their date.
+    changed = found.where("_content is not null and not _same")
+    said = F.col("_content").cast("string")
+    plain = F.contains(said, F.col("canonical_url")) | F.contains(said, F.regexp_replace("canonical_url", "^https://", "http://"))
+    dates = listings.page_dates_of(F.col("_content"), F.col("canonical_url")).cast("date")
+    judged = changed.select("candidate_id", (plain & (dates == F.col("_day"))).alias("_identity"))
+    out = found.join(judged.groupBy("candidate_id").agg(F.bool_or("_identity").alias("_identity")), "candidate_id", "left")
+    problem = F.when(F.col("_content").isNull(), "missing").when(~F.col("_same") & ~F.coalesce("_identity", F.lit(False)), "mismatch")
+    out = cut(out.withColumn("problem", problem).drop("_content"))
+    marks = F.create_map(F.lit("external_corpus_run_id"), F.lit(from_run), F.lit("corpus_hash_revalidated"), (~F.col("_same")).cast("string"))
+    kept = F.map_concat(F.map_filter("metadata", lambda k, v: ~k.isin(*transient, "external_corpus_run_id", "corpus_hash_revalidated")), marks)
+    good = out.where("problem is null").withColumns({"run_id": F.lit(run_id), "metadata": kept}).select(*rows.columns, *[c for c in ["run_id"] if c not in rows.columns])
+    left = known.groupBy("source_id").agg(F.count_if(F.col("_day").isNull()).alias("omitted_undated"), F.count_if(F.col("_day").isNotNull() & ~inside).alias("omitted_outside"))
+    counts = good.groupBy("source_id").agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("provider") == "archive-search").alias("fallback_candidates"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    coverage = sources.select("source_id").distinct().join(counts, "source_id", "left").join(left, "source_id", "left")
+    return good, coverage.select("source_id", *[zero(c) for c in ("candidates", "fallback_candidates", "omitted_undated", "omitted_outside")]), out.where("problem is not null").select("candidate_id", "problem")
+
+
 def revised_lines(rows: DataFrame, lines: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows with the revised columns of their company, others as they were; the base rows aren't touched."""
     new = lines.select(key, *[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias("_revised"))

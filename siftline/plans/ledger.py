@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.sources.files import inventory
@@ -39,6 +40,18 @@ def configuration_hash(configuration: dict) -> str:
     return hashlib.sha256(json.dumps(configuration, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+def write_counted(frame: DataFrame, path: str, stage: str, counters: dict[str, Column]) -> DataFrame:
+    """Writes a frame and says what was written: stage, counter and value, without reading anything again.
+
+    counters: aggregates by name, of whole numbers. They are observed by the tasks that write, so a stage's manifest costs no second pass.
+    An output that is there already is an error.
+    """
+    seen = Observation(f"{stage}-{uuid.uuid4().hex}")
+    frame.observe(seen, *[c.cast("long").alias(n) for n, c in counters.items()]).write.parquet(path)
+    found = seen.get
+    return frame.sparkSession.createDataFrame([(stage, n, found[n]) for n in counters], "stage string, counter string, value long")
+
+
 class Run:
     """A run in a folder: ``folder/stage/frame`` for each frame, ``folder/_ledger/stage`` for what was written."""
 

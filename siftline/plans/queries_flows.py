@@ -495,10 +495,10 @@ def repeated_events(spark, sf):
 
 
 @query("""WITH RECURSIVE o AS (SELECT o_custkey AS c, lpad(o_orderkey::VARCHAR, 9, '0') AS id, o_orderdate::DATE AS d, o_orderstatus = 'F' AS old FROM orders),
-e AS (SELECT e.c, e.id, e.d, min((h.d, h.id)) AS first, row_number() OVER (PARTITION BY e.c ORDER BY e.d, e.id) AS n
-      FROM o e LEFT JOIN o h ON h.old AND h.c = e.c AND abs(e.d - h.d) <= 21 WHERE NOT e.old GROUP BY ALL),
-w AS (SELECT c, id, n, first[2] AS dup, CASE WHEN first IS NULL THEN id END AS kept, CASE WHEN first IS NULL THEN d END AS kept_on FROM e WHERE n = 1
-UNION ALL SELECT e.c, e.id, e.n, coalesce(e.first[2], CASE WHEN e.d - w.kept_on <= 21 THEN w.kept END),
+f AS (SELECT e.c, e.id, arg_min(h.id, (h.d, h.id)) AS first FROM o e JOIN o h ON h.old AND h.c = e.c AND abs(e.d - h.d) <= 21 WHERE NOT e.old GROUP BY ALL),
+e AS (SELECT o.c, o.id, o.d, f.first, row_number() OVER (PARTITION BY o.c ORDER BY o.d, o.id) AS n FROM o LEFT JOIN f ON f.c = o.c AND f.id = o.id WHERE NOT o.old),
+w AS (SELECT c, id, n, first AS dup, CASE WHEN first IS NULL THEN id END AS kept, CASE WHEN first IS NULL THEN d END AS kept_on FROM e WHERE n = 1
+UNION ALL SELECT e.c, e.id, e.n, coalesce(e.first, CASE WHEN e.d - w.kept_on <= 21 THEN w.kept END),
   CASE WHEN e.first IS NULL AND coalesce(e.d - w.kept_on > 21, true) THEN e.id ELSE w.kept END,
   CASE WHEN e.first IS NULL AND coalesce(e.d - w.kept_on > 21, true) THEN e.d ELSE w.kept_on END
   FROM w JOIN e ON e.c = w.c AND e.n = w.n + 1)

@@ -268,13 +268,21 @@ def stage_ledger(spark, sf):
     return again.agg(F.lit("nation").alias("frame"), F.count(F.lit(1)).alias("rows")).crossJoin(F.broadcast(bad)).crossJoin(F.broadcast(other)).crossJoin(F.broadcast(files_of.select((F.col("files") == 1).alias("done"))))
 
 
-@query("SELECT 'companies' AS frame, count(*) AS n_rows, true AS same FROM customer UNION ALL SELECT 'lead_events', count(*), true FROM orders UNION ALL SELECT 'recipients', count(*), true FROM supplier UNION ALL SELECT 'sequences', count(*), true FROM nation")
+_FRAMES = ("companies", "customer"), ("lead_events", "orders"), ("recipients", "supplier"), ("sequences", "nation")
+
+
+@query(" UNION ALL ".join(f"SELECT '{f}' AS frame, count(*) AS n_rows, true AS same, count(*) = 0 AS changed FROM {t}" for f, t in _FRAMES))
 def handoff_hashes(spark, sf):
-    """The frames of a handoff; a frame's hash doesn't depend on the order of its rows or columns."""
+    """The frames of a handoff; a frame's hash doesn't depend on the order of its rows or columns, but on each of its values."""
     t = {n: table(spark, sf, n) for n in ("customer", "orders", "supplier", "nation")}
     one = exports.handoff(*t.values())[1]
     two = exports.handoff(*[f.select(*reversed(f.columns)).repartition(3) for f in t.values()])[1]
-    return one.join(two.select("frame", F.col("content_hash").alias("other")), "frame").select("frame", "n_rows", (F.col("content_hash") == F.col("other")).alias("same"))
+    ids = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
+    none = [f.withColumn(ids[n], F.when(F.col(ids[n]) != F.lit(f.agg(F.max(ids[n])).first()[0]), F.col(ids[n]))) for n, f in t.items()]  # one value of one row is gone
+    other = exports.handoff(*none)[1].select("frame", F.col("content_hash").alias("without"))
+    both = one.join(other, "frame")
+    one = both.withColumn("changed", F.col("content_hash") == F.col("without"))
+    return one.join(two.select("frame", F.col("content_hash").alias("other")), "frame").select("frame", "n_rows", (F.col("content_hash") == F.col("other")).alias("same"), "changed")
 
 
 @query("""WITH c AS (SELECT o_orderkey AS id, o_custkey % 120 AS source_id, o_orderstatus = 'O' AS ok FROM orders)

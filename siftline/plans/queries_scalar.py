@@ -56,11 +56,12 @@ def registrable_domain(spark, sf):
     return pages(spark, sf).select("page_id", urls.registrable_domain("url").alias("domain"))
 
 
-@query("""WITH h AS (SELECT DISTINCT regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '^www\\.', '') AS h FROM pages)
+@query("""WITH w AS (SELECT DISTINCT regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '^www\\.', '') AS h FROM pages), h AS (SELECT h FROM w UNION SELECT regexp_replace(h, '^(?:m|blog)\\.', '') FROM w)
 SELECT a.h AS left_host, b.h AS right_host FROM h a JOIN h b ON a.h < b.h AND (ends_with(a.h, '.' || b.h) OR ends_with(b.h, '.' || a.h))""")
 def same_site_pairs(spark, sf):
     """Hosts where one is a subdomain of the other, found by their own suffixes."""
-    h = pages(spark, sf).select(F.regexp_replace(urls.host("url"), r"^www\.", "").alias("h")).distinct()
+    h = pages(spark, sf).select(F.regexp_replace(urls.host("url"), r"^www\.", "").alias("h"))
+    h = h.select(F.explode(F.array("h", F.regexp_replace("h", r"^(?:m|blog)\.", ""))).alias("h")).distinct()  # a site's own host beside its mobile one and its blog
     labels = F.split("h", r"\.")
     up = h.select("h", F.explode(F.transform(F.sequence(F.lit(2), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("parent")).where("parent <> ''")
     return up.join(h.select(F.col("h").alias("parent")), "parent").select(F.least("h", "parent").alias("left_host"), F.greatest("h", "parent").alias("right_host"))

@@ -8,9 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siftline.functions import text
-from siftline.operators import fold, history, identity
+from siftline.operators import fold, history, identity, stages
 from siftline.operators.order import shared_folder
 from siftline.operators.snapshot import Snapshot
+from siftline.plans import ledger
 from siftline.plans.catalog import query
 from siftline.plans.domain import log, pages
 from siftline.plans.queries_fields import _plain
@@ -100,6 +101,50 @@ def saved_pages(spark, sf):
     return got.select("group", "page", F.col("record").cast("long").alias("event_id"))
 
 
+@query("""SELECT 'qualify' AS stage, unnest(['rows', 'open', 'value', 'companies_seen']) AS counter, unnest([count(*), count(*) FILTER (WHERE o_orderstatus = 'O'), sum(floor(o_totalprice)::BIGINT)::BIGINT, max(o_custkey)]) AS value FROM orders""")
+def observed_counters(spark, sf):
+    """A stage's counters as the tasks that wrote it saw them."""
+    rows = table(spark, sf, "orders")
+    counters = {"rows": F.count(F.lit(1)), "open": F.count_if(F.col("o_orderstatus") == "O"), "value": F.sum(F.floor("o_totalprice")), "companies_seen": F.max("o_custkey")}
+    return ledger.write_counted(rows, _folder(spark, "counted"), "qualify", counters)
+
+
+_CORPUS = """p AS (SELECT page_id, url, html, page_id % 7 AS source_id, CASE WHEN page_id % 5 <> 4 THEN date '2024-03-01' + (page_id % 40)::INT END AS day, page_id % 6 AS kind FROM pages),
+j AS (SELECT *, CASE WHEN day IS NULL THEN 'undated' WHEN day NOT BETWEEN date '2024-03-05' AND date '2024-03-31' THEN 'outside' WHEN kind = 1 THEN 'missing' WHEN kind = 2 THEN 'mismatch' ELSE 'taken' END AS fate FROM p WHERE source_id <> 6)"""
+
+
+def _corpus(spark, sf):
+    """Pages as a saved run: of six, one lost its file, one's file has another date, one's file changed but says url and date, three are as they were."""
+    k = F.col("page_id")
+    day = F.when(k % 5 != 4, F.date_add(F.lit("2024-03-01").cast("date"), (k % 40).cast("int")))
+    p = pages(spark, sf).select("page_id", "url", "html", (k % 7).alias("source_id"), day.alias("day"), (k % 6).alias("kind"))
+    rows = p.select(F.col("page_id").alias("candidate_id"), "source_id", F.col("url").alias("canonical_url"), F.col("day").cast("timestamp").alias("published_at"), F.when(k % 2 == 0, "archive-search").otherwise("index").alias("provider"), F.concat(F.lit("f"), k.cast("string")).alias("raw_artifact_path"), F.when(k % 6 == 5, "").otherwise(F.sha2(F.col("html").cast("binary"), 256)).alias("raw_artifact_hash"), F.create_map(F.lit("bulk_qualified"), F.lit("x"), F.lit("title"), F.col("url")).alias("metadata"))
+    stated = lambda d: F.concat(F.lit("<meta name='date' content='"), d.cast("string"), F.lit("'><a href='"), F.regexp_replace("url", "^https://", "http://"), F.lit("'>"))
+    content = F.when(F.col("kind") == 2, stated(F.date_add("day", 1))).when(F.col("kind") == 3, stated(F.col("day"))).otherwise(F.col("html"))
+    files = p.where("kind <> 1").select(F.concat(F.lit("f"), k.cast("string")).alias("path"), F.coalesce(content, F.lit("")).cast("binary").alias("content"))
+    sources = spark.range(6).select(F.col("id").alias("source_id"))
+    return stages.reused_corpus(rows, files, sources, "2024-03-05", "2024-03-31", "r2", "r1", ("bulk_qualified",))
+
+
+@query(f"WITH {_CORPUS} SELECT page_id AS candidate_id, 'r2' AS run_id, (kind = 3)::VARCHAR AS revalidated, 3 AS kept FROM j WHERE fate = 'taken'")
+def reused_corpus(spark, sf):
+    """The candidates of a saved run that still are what they were, by hash or by page and date."""
+    good = _corpus(spark, sf)[0]
+    return good.select("candidate_id", "run_id", F.col("metadata")["corpus_hash_revalidated"].alias("revalidated"), F.size("metadata").alias("kept"))
+
+
+@query(f"WITH {_CORPUS} SELECT source_id, count(*) FILTER (WHERE fate = 'taken') AS candidates, count(*) FILTER (WHERE fate = 'taken' AND page_id % 2 = 0) AS fallback_candidates, count(*) FILTER (WHERE fate = 'undated') AS omitted_undated, count(*) FILTER (WHERE fate = 'outside') AS omitted_outside FROM j GROUP BY source_id")
+def corpus_coverage(spark, sf):
+    """Per source what was taken over and what was left out."""
+    return _corpus(spark, sf)[1]
+
+
+@query(f"WITH {_CORPUS} SELECT page_id AS candidate_id, fate AS problem FROM j WHERE fate IN ('missing', 'mismatch')")
+def corpus_problems(spark, sf):
+    """Candidates whose file is gone, or is another page's or day's."""
+    return _corpus(spark, sf)[2]
+
+
 _SAVES = "s AS (SELECT user_id AS event, event_id, strftime(ts, '%Y-%m-%d') AS run, event_type, value FROM events)"
 
 

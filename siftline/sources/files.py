@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siftline.functions.ids import stable_uuid
 from siftline.functions.text import text_or_empty
 from siftline.functions.urls import canonicalize_url, host
+from siftline.operators.order import numbered
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -36,11 +37,11 @@ def curated_sources(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def named_sources(rows: DataFrame, order: str = "_row") -> DataFrame:
     """Slug names, repeated ones numbered _2, _3 and so on in the file's order, beside the name and url.
 
-    ``order`` numbers the file's rows; a nameless row is called source_ and its number from 1. A source list is small.
+    ``order`` numbers the file's rows; a nameless row is called source_ and its number from 1.
     """
-    numbered = rows.withColumn("_at", F.row_number().over(Window.orderBy(order)))
+    placed = numbered(rows, [order], "_at")
     slug = F.regexp_replace(F.regexp_replace(F.lower(_either(rows, "Resource Name", "name")), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    kept = numbered.where(_either(rows, "URL", "url") != "").withColumn("base", F.when(slug == "", F.concat(F.lit("source_"), F.col("_at").cast("string"))).otherwise(slug))
+    kept = placed.where(_either(rows, "URL", "url") != "").withColumn("base", F.when(slug == "", F.concat(F.lit("source_"), F.col("_at").cast("string"))).otherwise(slug))
     n = F.row_number().over(Window.partitionBy("base").orderBy("_at"))
     return kept.withColumn("_n", n).select(F.when(F.col("_n") == 1, F.col("base")).otherwise(F.concat_ws("_", "base", "_n")).alias("name"), F.coalesce(F.nullif(_either(rows, "Resource Name", "name"), F.lit("")), F.col("base")).alias("display_name"), _either(rows, "URL", "url").alias("endpoint"))
 

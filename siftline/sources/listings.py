@@ -311,16 +311,21 @@ def index_links(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     return articles.select("source_id", "url", "canonical_url", "title", "score", "rank"), feeds.select("source_id", "url", "canonical_url")
 
 
-def publication_dates(pages: DataFrame) -> DataFrame:
-    """Url and published_at of pages (url, content): the first stated date that parses, else the url's own."""
+def page_dates_of(content: Column, url: Column) -> Column:
+    """When a page was published: the first stated date that parses, else its url's own."""
 
     @F.pandas_udf("array<string>")
     def stated(content: pd.Series) -> pd.Series:
         return content.map(lambda c: page_dates(c.decode("utf-8", "replace") if isinstance(c, bytes) else str(c or "")))
 
-    dated = pages.select("url", stated("content").alias("stated"))
-    first = F.get(F.array_compact(F.transform("stated", lambda d: parse_datetime(d))), F.lit(0))
-    return dated.select("url", F.coalesce(first, date_from_url("url").cast("timestamp")).alias("published_at"))
+    first = F.get(F.array_compact(F.transform(stated(content), lambda d: parse_datetime(d))), F.lit(0))
+    return F.coalesce(first, date_from_url(url).cast("timestamp"))
+
+
+def publication_dates(pages: DataFrame) -> DataFrame:
+    """Url and published_at of pages (url, content): the first stated date that parses, else the url's own."""
+
+    return pages.select("url", page_dates_of(F.col("content"), F.col("url")).alias("published_at"))
 
 
 def crawl(
