@@ -2,7 +2,7 @@
 
 Where the order of a key's rows decides step by step, the state is a row that Python folds. Where aggregates say it all
 (suppressions, sequences, provider operations), the batch fold itself runs over the stream: copies merge before the
-shuffle, and repeated rows change nothing. ``latest`` writes what a stream of states says last, by an output folder.
+shuffle, and repeated rows change nothing. ``write_states`` keeps what a stream of states says last, ``latest`` reads it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from siftline.operators.fold import LAST, fold
+from siftline.operators.snapshot import Snapshot
 from siftline.streaming.feed_health import NEVER
 from siftline.streaming.queue import LEAST_LEASE
 from siftline.streaming.sequences import fold_states
@@ -188,17 +189,25 @@ def operations(log: DataFrame) -> DataFrame:
     return fold(log.withColumn("last", F.col("seq")), ["operation_key"], "seq", {"status": LAST, "lease_until": LAST, "last": LAST}).withColumnRenamed("last", "seq")
 
 
-def write_states(states: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """What is there now, batch by batch, to ``folder``: a batch that is repeated after a failure replaces its own rows."""
+def _store(spark: SparkSession, folder: str, keys: list[str], columns: list[str]) -> Snapshot:
+    return Snapshot(spark, folder, keys, "_batch", {c: LAST for c in columns}, buckets=16)
+
+
+def write_states(states: DataFrame, folder: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """What is there now, batch by batch, into a snapshot in ``folder``: one state for each key, the last batch's.
+
+    A batch that is repeated after a failure changes nothing. Buckets with many files are rewritten as the
+    stream goes on, so what is kept grows with the keys and not with the batches.
+    """
+    columns = [c for c in states.columns if c not in keys]
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+        _store(rows.sparkSession, folder, keys, columns).add(rows.withColumn("_batch", F.lit(batch).cast("long")), batch)
 
     return states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """The last state of each key that ``write_states`` has written."""
-    rows = spark.read.parquet(folder)
-    columns = [c for c in rows.columns if c not in (*keys, "batch")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("_s")).select(*keys, "_s.*")
+    stored = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data").columns
+    return _store(spark, folder, keys, [c for c in stored if c not in (*keys, "add", "bucket")]).read()

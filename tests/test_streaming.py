@@ -127,7 +127,7 @@ def last_states(spark, rows, schema, make, keys, folder, parts=3):
     for i in range(parts):
         some = rows[max(0, len(rows) * i // parts - 2) : len(rows) * (i + 1) // parts]
         spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        query = stateful.write_states(make(spark.readStream.schema(schema).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/ck")
+        query = stateful.write_states(make(spark.readStream.schema(schema).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/ck", keys)
         assert query.awaitTermination(120)
     return stateful.latest(spark, f"{folder}/out", keys)
 
