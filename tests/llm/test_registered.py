@@ -107,3 +107,36 @@ def test_another_pattern_is_refused(spark, sf):
     assert byte_bpe.PATTERN == P.PATTERN
     with pytest.raises(ValueError, match="pattern"):
         byte_bpe.encode(queries.table(spark, sf, "documents"), P.path("byte_bpe_50k.tiktoken"), pattern=r"\s+")
+
+
+def test_extra_columns_of_clashing_names(spark):
+    """Columns named like an operator's own neither stop it nor change what comes out."""
+    from pyspark.sql import functions as F
+
+    from siftline.llm import fst_tokens, line_dedup, packing
+
+    docs = spark.createDataFrame([(1, "one line here\nanother line"), (2, "one line here"), (None, None), (2, "")], "doc_id long, text string")
+    extra = docs
+    for name in ("id", "tag", "h", "key", "batch", "pos", "ids", "offsets", "decoded", "n_tokens", "n_bytes", "start", "length", "n"):
+        extra = extra.withColumn(name, F.lit("x"))
+    for make in (
+        line_dedup.line_dedup,
+        lambda d: byte_bpe.encode(d, P.path("byte_bpe_50k.tiktoken"), ("ids", "offsets", "decoded")),
+        lambda d: fst_tokens.count_tokens(d, P.path("piece_bpe_32k.model"), limit=2),
+        lambda d: packing.pack(d, P.path("byte_bpe_50k.json")).select("doc_id", "start", "length", "doc_tokens", "ids"),
+    ):
+        plain, clashing = (sorted(map(repr, map(tuple, make(d.coalesce(1)).collect()))) for d in (docs, extra))
+        assert plain == clashing and len(plain) >= 4
+
+
+def test_packing_a_very_long_text(spark):
+    from siftline.llm import packing
+
+    text = "some words of a long text. " * 40_000
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string").coalesce(1)
+    rows = packing.pack(docs, P.path("byte_bpe_50k.json")).select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids").collect()
+    library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    parts = sorted((r.start, bytes(r.ids)) for r in rows if r.doc_id == 1)
+    assert b"".join(p for _, p in parts) == want.tobytes()
+    assert max(r.offset + r.length for r in rows) <= 1024
