@@ -162,4 +162,4 @@ def _mismatch(c: Column) -> Column:
 @query("SELECT c_custkey, right('1602555' || lpad(c_custkey::VARCHAR, 4, '0'), 10) AS key FROM customer")
 def phone_keys(spark, sf):
     """K07"""
-    return table(spark, sf, "customer").select("c_custkey", contacts.phone_key(F.format_string("+1 (602) 555-%04d", "c_custkey")).alias("key"))
+    return table(spark, sf, "customer").select("c_custkey", contacts.phone_key(F.concat(F.lit("+1 (602) 555-"), F.lpad(F.col("c_custkey").cast("string"), 4, "0"))).alias("key"))
