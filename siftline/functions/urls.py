@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftline.functions.text import normalize_text, text_or_empty
+from siftline.functions.text import bind, normalize_text, text_or_empty
 
 # Tracking parameters.
 TRACKING_KEYS = ("fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source")
@@ -62,9 +62,8 @@ def _place(url: Column | str) -> Column:
 
 def host(url: Column | str) -> Column:
     """The lower-cased host without user, port and brackets; '' if there is none."""
-    place = _place(url)
-    bare = F.when(F.startswith(place, F.lit("[")), F.regexp_extract(place, r"^\[([^\]]*)\]", 1)).otherwise(F.substring_index(place, ":", 1))
-    return F.lower(bare)
+    bare = lambda place: F.when(F.startswith(place, F.lit("[")), F.regexp_extract(place, r"^\[([^\]]*)\]", 1)).otherwise(F.substring_index(place, ":", 1))
+    return F.lower(bind(_place(url), bare))
 
 
 def port_text(url: Column | str) -> Column:
@@ -77,9 +76,9 @@ def path(url: Column | str) -> Column:
 
 def _port(url: Column | str) -> Column:
     """The port, 0 if none is given, null if it isn't one."""
-    text = port_text(url)
-    number = F.when(F.regexp_like(text, F.lit(r"^\d{1,9}$")), text.try_cast("int"))
-    return F.when(text == "", F.lit(0)).when(number <= 65_535, number)
+    number = lambda text: F.when(F.regexp_like(text, F.lit(r"^\d{1,9}$")), text.try_cast("int"))
+    known = lambda text: bind(number(text), lambda n: F.when(text == "", F.lit(0)).when(n <= 65_535, n))
+    return bind(port_text(url), known)
 
 
 def _pairs(query: Column) -> Column:
@@ -104,15 +103,22 @@ def _with_query(base: Column, query: Column) -> Column:
 
 
 def canonicalize_url(url: Column | str) -> Column:
-    """http(s) only; lower-cased host, no user, fragment, default port or tracking; sorted query; one slash a step."""
-    kind, number = scheme(url), _port(url)
-    standard = ((kind == "http") & (number == 80)) | ((kind == "https") & (number == 443)) | (number == 0)
-    place = F.when(standard, host(url)).otherwise(F.concat_ws(":", host(url), number))
-    steps = F.regexp_replace(F.coalesce(F.nullif(path(url), F.lit("")), F.lit("/")), "/{2,}", "/")
-    steps = F.when(steps == "/", steps).otherwise(F.regexp_replace(steps, "/+$", ""))
-    query = _query(url, lambda k: F.startswith(F.lower(k), F.lit("utm_")) | F.lower(k).isin(*TRACKING_KEYS))
-    whole = _with_query(F.concat(kind, F.lit("://"), place, steps), query)
-    return F.when(kind.isin("http", "https") & (part(url, 2) != "") & number.isNotNull(), whole)
+    """http(s) only; lower-cased host, no user, fragment, default port or tracking; sorted query; one slash a step.
+
+    The url and its parts are bound, so an expression that is given, or a filter that is pushed below, stays small.
+    """
+
+    def whole(raw: Column, p: Column) -> Column:
+        kind, number = p["kind"], p["number"]
+        standard = ((kind == "http") & (number == 80)) | ((kind == "https") & (number == 443)) | (number == 0)
+        place = F.when(standard, p["host"]).otherwise(F.concat_ws(":", p["host"], number))
+        steps = bind(F.regexp_replace(F.coalesce(F.nullif(path(raw), F.lit("")), F.lit("/")), "/{2,}", "/"), lambda x: F.when(x == "/", x).otherwise(F.regexp_replace(x, "/+$", "")))
+        query = _query(raw, lambda k: F.startswith(F.lower(k), F.lit("utm_")) | F.lower(k).isin(*TRACKING_KEYS))
+        made = bind(query, lambda q: _with_query(F.concat(kind, F.lit("://"), place, steps), q))
+        return F.when(kind.isin("http", "https") & (p["authority"] != "") & number.isNotNull(), made)
+
+    parts = lambda raw: F.struct(scheme(raw).alias("kind"), _port(raw).alias("number"), host(raw).alias("host"), part(raw, 2).alias("authority"))
+    return bind(text_or_empty(url), lambda raw: bind(parts(raw), lambda p: whole(raw, p)))
 
 
 def canonicalize_url_legacy(url: Column | str) -> Column:
@@ -128,13 +134,13 @@ def canonicalize_url_legacy(url: Column | str) -> Column:
 
 def registrable_domain(url: Column | str) -> Column:
     """The last two labels of the host, or three where the two are a public suffix."""
-    labels = F.split(F.btrim(host(url), F.lit(".")), r"\.")
-    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), n), ".")
-    return F.when((F.size(labels) > 2) & last(2).isin(*MULTIPART_SUFFIXES), last(3)).otherwise(last(2))
+    last = lambda labels, n: F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), n), ".")
+    domain = lambda labels: F.when((F.size(labels) > 2) & last(labels, 2).isin(*MULTIPART_SUFFIXES), last(labels, 3)).otherwise(last(labels, 2))
+    return bind(F.split(F.btrim(host(url), F.lit(".")), r"\."), domain)
 
 
 def same_domain(left: Column | str, right: Column | str) -> Column:
-    return (registrable_domain(left) != "") & (registrable_domain(left) == registrable_domain(right))
+    return bind(registrable_domain(left), lambda a: (a != "") & (a == registrable_domain(right)))
 
 
 def _site(url: Column | str) -> Column:
@@ -143,8 +149,8 @@ def _site(url: Column | str) -> Column:
 
 def same_site(left: Column | str, right: Column | str) -> Column:
     """Equal hosts without www, or one a subdomain of the other."""
-    a, b = _site(left), _site(right)
-    return (a != "") & (b != "") & ((a == b) | F.endswith(a, F.concat(F.lit("."), b)) | F.endswith(b, F.concat(F.lit("."), a)))
+    within = lambda a, b: F.endswith(a, F.concat(F.lit("."), b))
+    return bind(F.struct(_site(left).alias("a"), _site(right).alias("b")), lambda s: (s["a"] != "") & (s["b"] != "") & ((s["a"] == s["b"]) | within(s["a"], s["b"]) | within(s["b"], s["a"])))
 
 
 def normalized_domain(value: Column | str) -> Column:
@@ -170,17 +176,13 @@ def date_from_url(url: Column | str) -> Column:
 
     Segments that look like a date but are none give null, without the second form being tried.
     """
-    segments = F.filter(F.split(path(url), "/"), lambda s: s != "")
-    at = F.sequence(F.lit(1), F.greatest(F.size(segments) - 2, F.lit(1)))
-    digits = lambda i: F.regexp_like(F.concat_ws("/", F.slice(segments, i, 3)), F.lit(r"^[0-9]+/[0-9]+/[0-9]+$"))
-    year = lambda i: F.get(segments, i - 1).try_cast("int")
-    first = F.get(F.filter(at, lambda i: digits(i) & year(i).between(2000, 2100)), F.lit(0))
-    pick = lambda n: F.get(segments, first - 1 + n)
-    tight = lambda n: F.regexp_replace(pick(n), "^0+(?=.)", "")
-    by_segments = F.when((F.length(tight(1)) <= 2) & (F.length(tight(2)) <= 2), _date(tight(0), tight(1), tight(2)))
-    pattern = r"(?<![0-9])(20[0-9]{2})[-_]([0-9]{1,2})[-_]([0-9]{1,2})(?![0-9])"
-    found = [F.regexp_extract(path(url), pattern, i) for i in (1, 2, 3)]
-    return F.when(first.isNotNull(), by_segments).when(found[0] != "", _date(*found))
+    segments = r"(?:\A|/)0*(?:20[0-9]{2}|2100)/+[0-9]+/+[0-9]+(?=/|\z)"
+    pattern = r"(?<![0-9])20[0-9]{2}[-_][0-9]{1,2}[-_][0-9]{1,2}(?![0-9])"
+    tight = lambda c: F.regexp_replace(c, "^0+(?=.)", "")
+    digits = lambda c: F.transform(F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0)), tight)
+    dated = lambda said: bind(digits(said), lambda d: F.when((F.length(F.get(d, F.lit(1))) <= 2) & (F.length(F.get(d, F.lit(2))) <= 2), _date(*[F.get(d, F.lit(i)) for i in range(3)])))
+    found = lambda steps: bind(F.regexp_extract(steps, segments, 0), lambda said: F.when(said != "", said).otherwise(F.regexp_extract(steps, pattern, 0)))
+    return bind(bind(path(url), found), lambda said: F.when(said != "", dated(said)))
 
 
 def contains_any(text: Column, terms: tuple[str, ...]) -> Column:
