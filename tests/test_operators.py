@@ -310,3 +310,17 @@ def test_ordered_picks(spark):
     assert sorted(r.id for r in first.collect()) == [3, 4] and sorted(r.id for r in rest.collect()) == [0, 1, 2]
     df = frame([("qualify", "open", 0), ("score", "open", 0), ("discover", "resolved", 0)], "stage string, state string, retry_count int")
     assert pick.retry_stage(df, ["discover", "qualify", "score"], 3).first().stage == "qualify"
+
+
+def test_spread_deals_small_rows_to_many_tasks(spark):
+    df = order.spread(spark.range(100, numPartitions=1), 30)
+    assert df.rdd.getNumPartitions() == 4 and sorted(r.id for r in df.collect()) == list(range(100))
+    assert order.spread(spark.range(0), 30).count() == 0
+
+
+def test_a_recipient_id_that_all_have_is_no_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(eligibility, "HOT_ROWS", 5)
+    n, row = F.col("id"), {"rank": "1", "role_score": "100", "first_name": "'Ann'", "profile_status": "'valid'", "why_line_status": "'valid'", "why_confidence": "'high'", "anchor_status": "'valid'", "anchor_confidence": "'high'", "anchor_score": "1"}
+    rows = spark.range(40).select(F.concat(F.lit("c"), (n % 2).cast("string")).alias("company_id"), F.concat(F.lit("p"), n.cast("string")).alias("person_id"), F.lit("k").alias("contact_candidate_id"), F.when(n % 3 > 0, F.concat(F.lit("e"), n.cast("string"))).alias("anchor_id"), *[F.expr(v).alias(c) for c, v in row.items()])
+    blocked = lambda held: sorted(int(r.person_id[1:]) for r in eligibility.recipient_eligibility(rows, spark.createDataFrame([(h,) for h in held], "record_id string")).where("eligibility_status = 'blocked'").collect())
+    assert blocked(["k"]) == list(range(40)) and blocked(["c1", "e2", "nobody", None]) == sorted({*range(1, 40, 2), 2}) and blocked(["p4"]) == [4] and blocked([None]) == []
