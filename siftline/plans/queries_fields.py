@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siftline.functions import contacts, crm, people, scope, templates, text, urls
+from siftline.operators.order import spread
 from siftline.plans.catalog import query
 from siftline.plans.queries_scalar import _n as norm
 from siftline.session import table
@@ -98,7 +99,7 @@ def why_lines(spark, sf):
     pick = lambda *values: F.element_at(F.array(*values), at)
     fine = F.create_map(F.lit("company"), F.lit("acme homes"), F.lit("property"), F.lit("The Plaza"), F.lit("location"), F.lit("Mesa, AZ"))
     poor, none = F.create_map(F.lit("company"), F.lit("nobody"), F.lit("location"), F.lit("arizona")), F.create_map().cast("map<string,string>")
-    given = table(spark, sf, "customer").select("c_custkey", pick(*map(F.lit, ("acquisition", "expansion", "skip_general", "no such key"))).alias("key"), pick(fine, poor, none, none).alias("slots"))
+    given = spread(table(spark, sf, "customer").select("c_custkey")).select("c_custkey", pick(*map(F.lit, ("acquisition", "expansion", "skip_general", "no such key"))).alias("key"), pick(fine, poor, none, none).alias("slots"))
     made = given.select("c_custkey", templates.why_line("key", F.col("slots"), F.lit(True), F.array(F.lit("https://x.com/a")), F.array(F.lit("Acme Homes LLC"))).alias("made"))
     return made.select("c_custkey", "made.status", F.col("made.text").alias("line"), F.array_join("made.errors", ",").alias("errors"))
 
