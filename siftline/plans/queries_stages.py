@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions import crm, scope
 from siftline.operators import stages
+from siftline.operators.order import spread
 from siftline.plans import exports
 from siftline.plans.catalog import query
 from siftline.plans.queries_scalar import _n as norm
@@ -24,7 +25,7 @@ def prescreen(spark, sf):
 def listing_scope(spark, sf):
     """titles about the right place, about another state, about another city, and with an owner from elsewhere."""
     title = F.element_at(F.array(*[F.lit(t) for t in ("Warehouse opens in Tempe", "Office in Texas by Tempe firm", "Chicago tower, Mesa owner", "Yuma site: Phoenix based investor")]), (F.col("c_custkey") % 4 + 1).cast("int"))
-    return table(spark, sf, "customer").select("c_custkey", scope.listing_in_scope(title, F.lit("https://x.com/a"), F.lit("")).alias("inside"))
+    return spread(table(spark, sf, "customer").select("c_custkey")).select("c_custkey", scope.listing_in_scope(title, F.lit("https://x.com/a"), F.lit("")).alias("inside"))
 
 
 @query(f"""WITH w AS (SELECT doc_id, string_split({norm('text')}, ' ') AS t FROM documents)
