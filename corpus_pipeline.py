@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import exact_dedup, language_id, near_copies, packing, quality
+from siftline.llm import exact_dedup, language_id, near_copies, packing, quality, simhash
 from siftline.llm.common import is_held_out, scratch
 from siftline.llm.queries import table, tokenizer
 
@@ -39,12 +39,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group whose five-word shingles are similar by 0.8 or more: the one of smallest doc_id.
+    """Keeps one document of each group of near copies: the one of smallest doc_id.
 
-    Texts without a word, null ones too, are one group; a null doc_id stays only in a group without any other. An empty
+    A group is what op 3's fingerprints link (three differing bits or fewer) and what five-word shingles that are similar by
+    0.8 or more link, which finds the block edits and repeats that fingerprints miss; links of both kinds join. Texts without a word, null ones too, are one group; a null doc_id stays only in a group without any other. An empty
     table gives no rows, and all columns stay as they were.
     """
-    return near_copies.keep_one(docs)
+    return near_copies.keep_one(docs, groups=simhash.near_groups(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -341,18 +341,26 @@ def text_hash() -> Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
-def keep_one(docs: DataFrame, least: float = SIMILARITY, width: int = WIDTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def _group_links(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """u, v: each text's tag and the least tag of its group. texts: x, tag; groups: tag (as x), component_fp."""
+    named = cut_lineage(texts.select("x", "tag").join(groups.select(F.col("tag").alias("x"), "component_fp").distinct(), "x").select("tag", "component_fp"))
+    least = named.groupBy("component_fp").agg(F.min("tag").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return named.join(least, "component_fp").where("tag <> u").select("u", F.col("tag").alias("v"))
+
+
+def keep_one(docs: DataFrame, least: float = SIMILARITY, width: int = WIDTH, chunk_bytes: int = CHUNK_BYTES, groups: DataFrame | None = None) -> DataFrame:
     """docs with one row of each group of near copies, all columns as they were.
 
-    A group is what links of at least ``least`` join, directly or through others; its smallest doc_id stays, a null
+    A group is what links of at least ``least`` join, directly or through others, and what ``groups`` has together: rows of
+    tag (xxhash64 of the text, null as empty) and component_fp, as ``simhash.near_groups`` gives them. Its smallest doc_id stays, a null
     one only where all are null. Equal texts are one node, told apart by 128 bits of hash, and are near copies of each
     other; so are all texts without a word. Rows that repeat both doc_id and text stay or go together: exact dedup is
     what removes them. An empty table gives no rows. doc_id must be a whole number.
     """
     h = text_hash()
-    rows = cut_lineage(integral(docs).select(F.col("doc_id").cast("long").alias("doc_id"), h.alias("h")))
+    rows = cut_lineage(integral(docs).select(F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("x")))
     # A number for each distinct text; the checkpoint fixes it.
-    texts = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    texts = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("x").alias("x"))
     texts = cut_lineage(texts.withColumn("tag", F.monotonically_increasing_id()))
     grouped = components(candidate_links(docs, texts, least, width)).select(F.col("node").alias("tag"), F.col("label").alias("comp"))
     candidates = cut_lineage(texts.join(grouped, "tag").select("h", "tag", "comp", "first"))
@@ -362,9 +370,12 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, width: int = WIDTH, chu
     read = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", h.alias("_h"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("_size"))
     read = read.join(candidates, (F.col("_h") == F.col("h")) & F.col("_id").eqNullSafe(F.col("first"))).select("comp", "tag", "text", "_size")
     read = cut_lineage(read.groupBy("comp", "tag").agg(F.first("text").alias("text"), F.first("_size").alias("weight")))
-    labels = components(verified_links(read, least, width, chunk_bytes))
+    linked = verified_links(read, least, width, chunk_bytes)
+    if groups is not None:
+        linked = linked.unionByName(_group_links(texts, groups))
+    labels = components(linked)
 
-    members = candidates.select("h", "tag", "first").join(labels, F.col("tag") == F.col("node")).select("h", "label", "first")
+    members = texts.select("h", "tag", "first").join(labels, F.col("tag") == F.col("node")).select("h", "label", "first")
     smallest = cut_lineage(members.groupBy("label").agg(F.min("first").alias("keep")))
     keepers = members.join(smallest, "label").select("h", "keep")
     alone = texts.where("n > 1").join(keepers, "h", "left_anti").select("h", F.col("first").alias("keep"))

@@ -257,7 +257,7 @@ def links(points: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFr
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """Per row of docs: doc_id, fp, tag, component_id (the smallest doc_id reachable over links within radius).
+    """Per row of docs: doc_id, fp, tag, component_id (the smallest doc_id reachable over links within radius), component_fp (its name among fingerprints).
 
     Null and empty texts and texts of white space have fingerprint zero and link like any other. Null doc_ids take
     part; component_id is null only where all of a component's doc_ids are. Equal fingerprints are merged before
@@ -269,7 +269,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, chunk
     labels = components(links(distinct.select("fp", F.col("fp").alias("label")), radius, chunk))
     linked = distinct.join(labels, distinct["fp"] == labels["node"]).select("fp", "label", "first")
     smallest = cut_lineage(linked.groupBy("label").agg(F.min("first").alias("smallest")))
-    reached = linked.join(smallest, "label").select("fp", "smallest")
-    by_fp = distinct.join(reached, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
+    reached = linked.join(smallest, "label").select("fp", "label", "smallest")
+    by_fp = distinct.join(reached, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"), F.coalesce("label", "fp").alias("component_fp"))
     by_fp = cut_lineage(by_fp)  # so that the join shuffles both sides, and Spark can split a fingerprint that very many have
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "tag", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "fp", "tag", "component_id", "component_fp")

@@ -372,3 +372,26 @@ def test_a_cluster_of_near_copies_is_joined_whole():
     label = np.arange(len(fp))
     u, v = simhash.spanning(simhash.GrayIndex(np.zeros(len(fp), np.int64), fp, label), 4)
     assert len(u) == len(fp) - 1 and set(v.tolist()) == {0}
+
+
+def test_near_stage_joins_what_fingerprints_link(spark, sf):
+    """Texts that differ in scattered words: fingerprints of three-word shingles link some whose five-word shingles are below 0.8."""
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words))]
+    for at in range(1, 60):
+        rows.append((at + 1, " ".join("changed" if i in (at, (at + 30) % 60, (at + 15) % 60) else w for i, w in enumerate(words))))
+    rows += [(1000, "quite another text that nothing is like at all"), (1000, "and one more with the same doc_id but of other words")]
+    df = frame(spark, rows)
+    fps = {r.doc_id: r.fp for r in simhash.fingerprints(df.where("doc_id < 1000")).collect()}
+    sets = {i: frozenset(near_copies.shingle_set(t.encode()).tolist()) for i, t in rows}
+    ids, root = sorted(fps), {i: i for i in fps}
+    by_fp = lambda a, b: ((fps[a] ^ fps[b]) & (1 << 64) - 1).bit_count() <= 3
+    assert any(by_fp(a, b) and not near_copies.similar(sets[a], sets[b], 0.8) for a in ids for b in ids if a < b)
+    for a in ids:
+        for b in ids:
+            if a < b and root[a] != root[b] and (by_fp(a, b) or near_copies.similar(sets[a], sets[b], 0.8)):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    assert sorted(r.doc_id for r in corpus_pipeline.near_stage(spark, df, sf).collect()) == sorted({*root.values()}) + [1000, 1000]
